@@ -72,8 +72,27 @@ def first_of_runs(items: Column, same: Callable[[Column, Column], Column]) -> Co
     )
 
 
+def sql_literal(value) -> str:
+    """A constant as SQL text: strings, numbers, lists and dicts (as structs)."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, float):
+        return f"{value!r}D"
+    if isinstance(value, list):
+        return f"array({', '.join(sql_literal(v) for v in value)})"
+    if isinstance(value, dict):
+        fields = ", ".join(f"'{k}', {sql_literal(v)}" for k, v in value.items())
+        return f"named_struct({fields})"
+    return str(value)
+
+
+def constant(value) -> Column:
+    """A nested constant as one expression (one call instead of one per element)."""
+    return F.expr(sql_literal(value))
+
+
 def lookup(mapping: dict, key: Column, default=None) -> Column:
     """Constant dictionary lookup."""
-    pairs = [F.lit(v) for kv in mapping.items() for v in kv]
-    found = F.try_element_at(F.create_map(*pairs), key)
+    pairs = ", ".join(f"{sql_literal(k)}, {sql_literal(v)}" for k, v in mapping.items())
+    found = F.try_element_at(F.expr(f"map({pairs})"), key)
     return found if default is None else F.coalesce(found, F.lit(default))

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veilspark import constants as K
-from veilspark.functions.arrays import empty_array, first_of_runs, let, lookup
+from veilspark.functions.arrays import constant, empty_array, first_of_runs, let, lookup
 from veilspark.functions.dialect import detection_regex
 from veilspark.functions.spans import locate, no_hits, pattern_hits
 from veilspark.operators.cells import _named, cell_array, chosen_columns, row_text
@@ -55,7 +55,7 @@ def cell_spans(
     ``array<struct<start,rank,end,text,label>>``; model hits carry ranks <= 0.
     """
     names = _order(precedence)
-    labels = F.array(*[F.lit(n.upper()) for n in names])
+    labels = constant([n.upper() for n in names])
     raw = F.transform(
         _regex_spans(text, names),
         lambda s: F.struct(

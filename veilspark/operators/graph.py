@@ -96,19 +96,25 @@ def _inferred(row_id: Column, found: Column) -> Column:
     return F.transform(found, node)
 
 
+def node_array(row_id: Column, entities: Column, inferred: Column | None) -> Column:
+    """The merged nodes of one row."""
+    row = row_id.cast("string")
+    raw = _detected(row, entities)
+    if inferred is not None:
+        raw = F.concat(raw, _inferred(row, inferred))
+    return _merge_ids(raw)
+
+
 def graph_rows(rows: DataFrame, window: int = K.WINDOW, with_proximity: bool = True) -> DataFrame:
     """``row_id, nodes``: the node list of each row, ids merged (map-only).
 
     ``with_proximity=False`` leaves the inferred entities out.
     """
-    row_id = F.col("row_id").cast("string")
-    raw = _detected(row_id, F.col("entities"))
+    found = None
     if with_proximity:
         found = inferred_array(F.col("row_text"), F.col("entities"), window)
-        raw = F.concat(raw, _inferred(row_id, found))
-    return rows.select(
-        "row_id", F.inline(F.array(F.struct(_merge_ids(raw).alias("nodes"))))
-    )
+    nodes = node_array(F.col("row_id"), F.col("entities"), found).alias("nodes")
+    return rows.select("row_id", F.inline(F.array(F.struct(nodes))))
 
 
 def graph_nodes(graph: DataFrame) -> DataFrame:

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veilspark import constants as K
-from veilspark.functions.arrays import empty_array, let
+from veilspark.functions.arrays import constant, let
 from veilspark.functions.dialect import jvm_pattern
-from veilspark.functions.spans import cut_after_last, find_spans
-
-INFERRED_DDL = (
-    "struct<text:string,type:string,pattern:string,context_indicators:array<string>,"
-    "start:int,end:int,confidence:double,method:string,risk_level:string>"
-)
+from veilspark.functions.spans import cut_after_last, locate, pattern_hits
 
 _LETTER = "[A-Z]"
+_LONE = jvm_pattern(rf"(?<!{_LETTER}){_LETTER}(?!{_LETTER})", "i")
+_ORG = rf"{_LETTER}{{2}}[A-Z\s]*\s{K.ORG_SUFFIX}"
+_ORG_TAIL = jvm_pattern(rf"{_LETTER}{{2}}\s+{K.ORG_SUFFIX}", "is")
+_ZIP_ORG = jvm_pattern(
+    rf"{K.ZIP_PART}(?:[^A-Z]++|(?!{_ORG}){_LETTER}[A-Z\s]*+)*+{_ORG}", "is", r"\d"
+)
+_ORDER = list(K.COMBINATION_PATTERNS)
 
 
 def _with_tail(text: Column, name: str, tail: str) -> Column:
@@ -24,12 +26,14 @@ def _with_tail(text: Column, name: str, tail: str) -> Column:
     start that is left then finds its number.
     """
     regex = jvm_pattern(K.COMBINATION_PATTERNS[name], "is")
-    return let(cut_after_last(text, jvm_pattern(tail, "is")), lambda t: find_spans(t, regex))
+    cut = cut_after_last(text, jvm_pattern(tail, "is"))
+    return let(cut, lambda t: pattern_hits(t, regex, _ORDER.index(name)))
 
 
 def _address_with_name(text: Column) -> Column:
-    regex = jvm_pattern(K.COMBINATION_PATTERNS["address_with_name"], "is", r"\d")
-    return F.when(F.rlike(text, F.lit(r"(?U)\d")), find_spans(text, regex))
+    name = "address_with_name"
+    regex = jvm_pattern(K.COMBINATION_PATTERNS[name], "is", r"\d")
+    return pattern_hits(text, regex, _ORDER.index(name))
 
 
 def _zip_with_org(text: Column) -> Column:
@@ -40,42 +44,34 @@ def _zip_with_org(text: Column) -> Column:
     spaces up to the suffix, which needs no nested repetition; and runs that
     hold no suffix can be skipped whole.
     """
-    lone = jvm_pattern(rf"(?<!{_LETTER}){_LETTER}(?!{_LETTER})", "i")
-    org = rf"{_LETTER}{{2}}[A-Z\s]*\s{K.ORG_SUFFIX}"
-    skip = rf"(?:[^A-Z]++|(?!{org}){_LETTER}[A-Z\s]*+)*+"
-    regex = jvm_pattern(f"{K.ZIP_PART}{skip}{org}", "is", r"\d")
-    tail = jvm_pattern(rf"{_LETTER}{{2}}\s+{K.ORG_SUFFIX}", "is")
-
-    def spans(blotted: Column) -> Column:
-        cut = cut_after_last(blotted, tail)
-        return F.transform(
-            let(cut, lambda t: find_spans(t, regex)),
-            lambda s: F.struct(
-                s["start"], s["end"], s["tag"],
-                F.substring(text, s["start"] + 1, s["end"] - s["start"]).alias("text"),
-            ),
-        )
-
-    return F.when(
-        F.rlike(text, F.lit(r"(?U)\d{5}")) & F.rlike(text, F.lit(tail)),
-        let(F.regexp_replace(text, lone, "#"), spans),
+    wanted = F.rlike(text, F.lit(r"(?U)\d{5}")) & F.rlike(text, F.lit(_ORG_TAIL))
+    blotted = F.when(wanted, F.regexp_replace(text, _LONE, "#")).otherwise(F.lit(""))
+    return let(
+        let(blotted, lambda t: cut_after_last(t, _ORG_TAIL)),
+        lambda t: pattern_hits(t, _ZIP_ORG, _ORDER.index("zip_with_org")),
     )
 
 
 def combinations(text: Column) -> Column:
     """Every combination-pattern match in the row text as inferred entities."""
-    found = {
-        "name_with_ssn": _with_tail(text, "name_with_ssn", K.SSN_TAIL),
-        "name_with_phone": _with_tail(text, "name_with_phone", K.PHONE_TAIL),
-        "address_with_name": _address_with_name(text),
-        "zip_with_org": _zip_with_org(text),
-    }
-
-    def inferred(name: str, s: Column) -> Column:
+    found = F.array(
+        _with_tail(text, "name_with_ssn", K.SSN_TAIL),
+        _with_tail(text, "name_with_phone", K.PHONE_TAIL),
+        _address_with_name(text),
+        _zip_with_org(text),
+    )
+    names = constant(_ORDER)
+    types = constant(
+        [K.COMBINATION_TYPES.get(n, K.COMBINATION_DEFAULT_TYPE) for n in _ORDER]
+    )
+    blotted = _ORDER.index("zip_with_org")
+
+    def inferred(s: Column) -> Column:
+        written = F.substring(text, s["start"] + 1, s["end"] - s["start"])
         return F.struct(
-            s["text"].alias("text"),
-            F.lit(K.COMBINATION_TYPES.get(name, K.COMBINATION_DEFAULT_TYPE)).alias("type"),
-            F.lit(name).alias("pattern"),
+            F.when(s["tag"] == blotted, written).otherwise(s["text"]).alias("text"),
+            F.get(types, s["tag"]).alias("type"),
+            F.get(names, s["tag"]).alias("pattern"),
             F.lit(None).cast("array<string>").alias("context_indicators"),
             s["start"].alias("start"),
             s["end"].alias("end"),
@@ -84,11 +80,7 @@ def combinations(text: Column) -> Column:
             F.lit("high").alias("risk_level"),
         )
 
-    def of(name: str, spans: Column) -> Column:
-        mapped = F.transform(spans, lambda s: inferred(name, s))
-        return F.coalesce(mapped, empty_array(INFERRED_DDL))
-
-    return F.concat(*[of(name, spans) for name, spans in found.items()])
+    return F.transform(locate(found), inferred)
 
 
 def context_window(row_text: Column, e: Column, window: int) -> Column:
@@ -101,9 +93,9 @@ def context_window(row_text: Column, e: Column, window: int) -> Column:
 
 def keyword_table() -> Column:
     """All context keywords as one constant array of (category, keyword)."""
-    return F.array(
-        *[
-            F.struct(F.lit(category).alias("category"), F.lit(word).alias("keyword"))
+    return constant(
+        [
+            {"category": category, "keyword": word}
             for category, words in K.CONTEXT_KEYWORDS.items()
             for word in words
         ]

@@ -5,25 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veilspark import constants as K
-from veilspark.functions.arrays import let
+from veilspark.functions.arrays import constant, let
 from veilspark.operators.proximity import pair_risk, window_pairs
 
 
 def sensitive_categories(text: Column) -> Column:
     """Keyword categories present in a text, with the number of keywords found."""
 
+    table = constant(
+        [{"category": c, "words": words} for c, words in K.CONTEXT_KEYWORDS.items()]
+    )
+
     def counted(low: Column) -> Column:
-        counts = []
-        for category, words in K.CONTEXT_KEYWORDS.items():
-            hits = F.filter(
-                F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w)
-            )
-            counts.append(
-                F.struct(
-                    F.lit(category).alias("category"), F.size(hits).alias("indicator_count")
-                )
-            )
-        return F.filter(F.array(*counts), lambda c: c["indicator_count"] > 0)
+        counts = F.transform(
+            table,
+            lambda t: F.struct(
+                t["category"].alias("category"),
+                F.size(F.filter(t["words"], lambda w: F.contains(low, w)))
+                .alias("indicator_count"),
+            ),
+        )
+        return F.filter(counts, lambda c: c["indicator_count"] > 0)
 
     return let(F.lower(text), counted)
 
@@ -54,10 +56,10 @@ def context_scores(df: DataFrame, key: str, text: Column) -> DataFrame:
     return df.select(F.col(key).alias("row_id"), F.inline(F.array(found)))
 
 
-def risk_struct(row_text: Column, entities: Column, window: int) -> Column:
-    """Everything known about one row's risk, as a struct."""
+def risk_struct(row_text: Column, pairs: Column, window: int) -> Column:
+    """Everything known about one row's risk, as a struct, from its window pairs."""
     levels = F.transform(
-        F.coalesce(window_pairs(entities, window), F.array()),
+        F.coalesce(pairs, F.array()),
         lambda p: pair_risk(p["e1"]["type"], p["e2"]["type"], p["distance"], window),
     )
 
@@ -92,5 +94,6 @@ def risk_struct(row_text: Column, entities: Column, window: int) -> Column:
 
 def row_risk(rows: DataFrame, window: int = K.WINDOW) -> DataFrame:
     """Risk of each row that has entities (map-only)."""
-    risk = risk_struct(F.col("row_text"), F.col("entities"), window)
+    pairs = window_pairs(F.col("entities"), window)
+    risk = risk_struct(F.col("row_text"), pairs, window)
     return rows.select("row_id", F.inline(F.array(risk)))
