@@ -44,6 +44,11 @@ def _rows(source) -> Callable:
 _doc_rows, _people_rows = _rows(_docs), _rows(_people)
 
 
+def _shared_rows(spark, sf):
+    return entity_rows(_people(spark, sf), "row_id", offset_basis="row")
+
+
+
 def _graph(rows) -> Callable:
     return lambda spark, sf: G.graph_rows(rows(spark, sf))
 
@@ -210,11 +215,14 @@ def context_window(spark, sf):
     )
 
 
-def context_indicators(spark, sf):
-    found = inference.contexts(_people_rows(spark, sf))
-    return found.filter(F.size("indicators") > 0).select(
-        "row_id", *_long("ent_ord"), F.array_join("indicators", "; ").alias("indicators")
-    )
+def _indicators(rows) -> Query:
+    def query(spark, sf):
+        found = inference.contexts(rows(spark, sf))
+        return found.filter(F.size("indicators") > 0).select(
+            "row_id", *_long("ent_ord"), F.array_join("indicators", "; ").alias("indicators")
+        )
+
+    return query
 
 
 def _categories() -> Column:
@@ -243,11 +251,6 @@ def _row_risk(rows) -> Query:
     return lambda spark, sf: _risk(risk.row_risk(rows(spark, sf)))
 
 
-def row_risk_shared_basis(spark, sf):
-    rows = entity_rows(_people(spark, sf), "row_id", offset_basis="row")
-    return _risk(risk.row_risk(rows))
-
-
 def _proximity_summary(rows) -> Query:
     def query(spark, sf):
         found = summary.proximity_summary(risk.row_risk(rows(spark, sf)))
@@ -488,13 +491,15 @@ QUERIES: dict[str, Query] = {
     "inferred_patterns": _inference(_people_rows, "pattern"),
     "inferred_patterns_documents": _inference(_doc_rows, "pattern"),
     "context_window": context_window,
-    "context_indicators": context_indicators,
+    "context_indicators": _indicators(_people_rows),
+    "context_indicators_shared_basis": _indicators(_shared_rows),
     "inferred_context": _inference(_people_rows, "context"),
     "inferred_all": _inference(_people_rows, "all"),
+    "inferred_all_shared_basis": _inference(_shared_rows, "all"),
     "context_score": context_score,
     "row_risk": _row_risk(_people_rows),
     "row_risk_documents": _row_risk(_doc_rows),
-    "row_risk_shared_basis": row_risk_shared_basis,
+    "row_risk_shared_basis": _row_risk(_shared_rows),
     "proximity_summary": _proximity_summary(_people_rows),
     "proximity_summary_documents": _proximity_summary(_doc_rows),
     "graph_nodes": graph_nodes,

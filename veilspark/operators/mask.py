@@ -163,21 +163,23 @@ def mask(
     """
     chosen = chosen_columns(df, key, columns)
     base, cells = _prepare(df, key, columns, "cell", model)
-    out = []
-    for name in df.columns:
-        text = _named(name).cast("string")
-        if name in chosen:
-            hits = None
-            if model is not None:
-                hits = F.get(cells, F.lit(chosen.index(name)))["model_hits"]
-            spans = cell_spans(text, precedence, hits)
-            done = masked_text(text, spans, overlap, steps)
-        elif name in extra_columns and steps == "all":
-            done = masked_text(text, None)
-        else:
-            done = _named(name)
-        out.append(done.alias(name))
-    return base.select(*out)
+
+    def masked(c: Column) -> Column:
+        spans = cell_spans(c["text"], precedence, c["model_hits"] if model is not None else None)
+        return masked_text(c["text"], spans, overlap, steps)
+
+    done = F.struct(F.transform(cells, masked).alias("_texts"))
+    found = base.select(*[_named(c) for c in df.columns], F.inline(F.array(done)))
+    place = {c: i for i, c in enumerate(chosen)}
+
+    def out(name: str) -> Column:
+        if name in place:
+            return F.get(F.col("_texts"), F.lit(place[name])).alias(name)
+        if name in extra_columns and steps == "all":
+            return masked_text(_named(name).cast("string"), None).alias(name)
+        return _named(name)
+
+    return found.select(*[out(c) for c in df.columns])
 
 
 def mask_detections(df: DataFrame, key: str, detections: DataFrame) -> DataFrame:
@@ -189,8 +191,10 @@ def mask_detections(df: DataFrame, key: str, detections: DataFrame) -> DataFrame
     spans = F.struct(
         "column", "start", F.col("ent_ord").alias("rank"), "end",
     )
-    per_row = detections.groupBy("row_id").agg(F.array_sort(F.collect_list(spans)).alias("_spans"))
-    joined = df.join(per_row, _named(key) == per_row["row_id"], "left")
+    per_row = detections.groupBy(F.col("row_id").alias("_row")).agg(
+        F.array_sort(F.collect_list(spans)).alias("_spans")
+    )
+    joined = df.join(per_row, _named(key) == F.col("_row"), "left")
     touched = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}
 
     def one(name: str) -> Column:

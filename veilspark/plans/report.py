@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veilspark import constants as K
+from veilspark.functions.arrays import constant, empty_array
 from veilspark.operators import graph as G
 from veilspark.operators.summary import detection_summary, proximity_summary
 
 
 def recommendations(total: Column, high_rows: Column, reid_level: Column) -> Column:
     """Advice lines, in order; the first three depend on the findings."""
-    lines = F.array(
-        F.when(total > 0, F.format_string(K.FOUND_ENTITIES, total)),
-        F.when(high_rows > 0, F.format_string(K.FOUND_HIGH_ROWS, high_rows)),
-        F.when(reid_level == "high", F.lit(K.FOUND_HIGH_REID)),
-        *[F.lit(line) for line in K.GENERAL_ADVICE],
+
+    def line_if(test: Column, line: Column) -> Column:
+        return F.when(test, F.array(line)).otherwise(empty_array("string"))
+
+    return F.concat(
+        line_if(total > 0, F.format_string(K.FOUND_ENTITIES, total)),
+        line_if(high_rows > 0, F.format_string(K.FOUND_HIGH_ROWS, high_rows)),
+        line_if(reid_level == "high", F.lit(K.FOUND_HIGH_REID)),
+        constant(K.GENERAL_ADVICE),
     )
-    return F.filter(lines, lambda x: x.isNotNull())
 
 
 def graph_summary(graph: DataFrame) -> DataFrame:
