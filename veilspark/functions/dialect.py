@@ -1,8 +1,9 @@
 """Turn the Python-style patterns of ``constants`` into JVM patterns with the same matches.
 
-Three things differ between the two regex engines and are fixed here by rule:
-``\\b`` and ``\\d`` (the JVM's notion of a word character depends on its
-release), and ``\\s`` (four control characters).  ``start`` names the characters
+What differs between the two regex engines is fixed here by rule: ``\\b`` (the
+JVM's notion of a word character depends on its release), ``\\s`` (four control
+characters), and letter ranges without case (special letters such as the Kelvin
+sign, which the JVM only finds through the lower-case range).  ``start`` names the characters
 a match can begin with; as a lookahead it rejects most positions in one step
 and changes no match.
 """
@@ -28,6 +29,8 @@ _STARTS = {
 
 def jvm_pattern(pattern: str, flags: str = "", start: str | None = None) -> str:
     body = pattern.replace(r"\b", _EDGE).replace(r"\s", _SPACE)
+    if "i" in flags:
+        body = body.replace("A-Z", "A-Za-z")
     if start:
         body = f"(?={start})(?:{body})"
     return f"(?{flags}U){body}"

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from veilspark.functions.arrays import empty_array
+
 
 def text_columns(df: DataFrame, key: str) -> list[str]:
     """The string columns of ``df`` apart from the key."""
@@ -21,6 +23,8 @@ def _named(name: str) -> Column:
 
 
 def chosen_columns(df: DataFrame, key: str, columns: Sequence[str] | None) -> list[str]:
+    if key not in df.columns:
+        raise ValueError(f"unknown key column: {key}")
     if columns is None:
         return text_columns(df, key)
     missing = [c for c in columns if c not in df.columns]
@@ -68,6 +72,8 @@ def cell_array(
         if model_hits is not None:
             fields.append(model_hits[name].alias("model_hits"))
         parts.append(F.struct(*fields))
+    if not parts:  # nothing to scan still needs a typed array
+        return empty_array("struct<col_idx:int,column:string,base:int,text:string>")
     return F.array(*parts)
 
 

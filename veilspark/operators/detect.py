@@ -125,7 +125,11 @@ def _prepare(
     chosen = chosen_columns(df, key, columns)
     if model is None:
         return df, cell_array(df, key, chosen, offset_basis)
-    tagger = F.pandas_udf(model, f"array<{HIT_DDL}>")
+
+    def tag(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return model(batches)
+
+    tagger = F.pandas_udf(tag, f"array<{HIT_DDL}>")
     names = {c: f"_model_hits_{i}" for i, c in enumerate(chosen)}
     tagged = df.select(
         "*", *[tagger(_named(c).cast("string")).alias(n) for c, n in names.items()]

@@ -12,7 +12,7 @@ from veilspark.functions.spans import cut_after_last, locate, pattern_hits
 _LETTER = "[A-Z]"
 _LONE = jvm_pattern(rf"(?<!{_LETTER}){_LETTER}(?!{_LETTER})", "i")
 _ORG = rf"{_LETTER}{{2}}[A-Z\s]*\s{K.ORG_SUFFIX}"
-_ORG_TAIL = jvm_pattern(rf"{_LETTER}{{2}}\s+{K.ORG_SUFFIX}", "is")
+_ORG_TAIL = jvm_pattern(rf"(?<={_LETTER}{{2}})\s+{K.ORG_SUFFIX}", "is")
 _ZIP_ORG = jvm_pattern(
     rf"{K.ZIP_PART}(?:[^A-Z]++|(?!{_ORG}){_LETTER}[A-Z\s]*+)*+{_ORG}", "is", r"\d"
 )
