@@ -47,9 +47,7 @@ def graph_summary(graph: DataFrame) -> DataFrame:
 
 def failed_graph_summary(graph: DataFrame, error: str) -> DataFrame:
     """What stands in for ``graph_summary`` when the graph step failed."""
-    schema = graph_summary(graph).schema
-    stats = (0, 0, 0.0, 0.0, False)
-    return graph.sparkSession.createDataFrame([(error, stats, 0, None, None)], schema)
+    return graph_summary(graph.limit(0)).withColumn("error", F.lit(error))
 
 
 def _packed(df: DataFrame) -> Column:
@@ -66,7 +64,7 @@ def report(
 ) -> DataFrame:
     """The report as one row; its parts are scalar subqueries, not joins."""
     spark = rows.sparkSession
-    parts = spark.range(1).select(
+    parts = spark.range(0, 1, 1, 1).select(
         F.struct(
             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
             .alias("timestamp"),
