@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from veilspark.sources.tables import spread
@@ -55,10 +52,3 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     fixed = spark.createDataFrame(FIXED_TERMS, "term string, label string")
     return pairs.unionByName(fixed)
-
-
-def work_dir(spark: SparkSession) -> str:
-    """A folder of this query's own under the shared checkpoint folder; a local
-    temporary one only where no shared folder is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or tempfile.mkdtemp(prefix='run-')}/q-{uuid.uuid4().hex}"

@@ -16,6 +16,7 @@ from veilspark.operators.detect import detect, entity_rows, pattern_spans
 from veilspark.operators.gazetteer import gazetteer_entities, rows_of, with_gazetteer
 from veilspark.plans.report import graph_summary, recommendations, report, text_summary
 from veilspark.sources.exports import export_graph, read_report, write_report
+from veilspark.sources.stage import stage_path, staged
 from veilspark.sources.tables import load_csv, write_masked
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -371,8 +372,8 @@ def mask_full_documents(spark, sf):
 
 
 def _report(spark, sf):
-    rows = _people_rows(spark, sf)
-    graph = G.graph_rows(rows)
+    rows = staged(_people_rows(spark, sf))
+    graph = staged(G.graph_rows(rows))
     return report(rows, risk.row_risk(rows), graph_summary(graph), "people")
 
 
@@ -404,7 +405,7 @@ def report_text(spark, sf):
 
 def report_file(spark, sf):
     made = _report(spark, sf)
-    path = inputs.work_dir(spark)
+    path = stage_path(spark)
     write_report(made, path)
     return read_report(spark, path, made.schema).select(
         F.col("ner_summary.total_detections").cast("long").alias("total_detections"),
@@ -414,7 +415,7 @@ def report_file(spark, sf):
 
 
 def advice(spark, sf):
-    rows = _people_rows(spark, sf)
+    rows = staged(_people_rows(spark, sf))
     counts = summary.detection_summary(rows)
     high = summary.proximity_summary(risk.row_risk(rows)).select("high_risk_rows").scalar()
     level = G.reid_risk(G.graph_rows(rows)).select("risk_level").scalar()
@@ -443,7 +444,7 @@ def risk_badge(spark, sf):
 
 def csv_round_trip(spark, sf):
     people = _people(spark, sf)
-    base = inputs.work_dir(spark)
+    base = stage_path(spark)
     write_masked(people, f"{base}/in.csv")
     df, key, text = load_csv(spark, f"{base}/in.csv", key="row_id")
     write_masked(mask.mask(df, key, text), f"{base}/out.csv")
@@ -452,8 +453,8 @@ def csv_round_trip(spark, sf):
 
 
 def graph_export(spark, sf):
-    path = inputs.work_dir(spark)
-    export_graph(_people_graph(spark, sf), path)
+    path = stage_path(spark)
+    export_graph(staged(_people_graph(spark, sf)), path)
     nodes = spark.read.schema("id string, data struct<type:string,row:long>").json(f"{path}/nodes")
     edges = spark.read.schema(
         "source string, target string, data struct<weight:double,relation_type:string>"

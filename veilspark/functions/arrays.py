@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-CHUNK = 256
+CHUNK = 64
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -13,41 +13,59 @@ from veilspark.operators.cells import _named, cells, row_text
 
 TOKEN = r"[\p{L}\p{N}_]+"
 BROADCAST_TERMS = 200_000
+FILTER_WORDS = 500
 SALTS = 16
 
 
-def _ngrams(text: Column, longest: int) -> Column:
-    """All runs of 1..longest tokens: ``array<struct<start,end,text,norm>>``.
+def _ngrams(text: Column, longest: int, first_words: Sequence[str] | None) -> Column:
+    """Runs of 1..longest tokens: ``array<struct<start,end,text,norm>>``.
 
     ``norm`` joins the tokens by one space, so line breaks and punctuation
     between the words of a term do not hide it; ``text`` is the run as written.
+    With ``first_words`` only runs that begin with one of them are built, and a
+    cell with none of them is left after its token scan.
     """
 
-    def run(n: int, t: Column, i: Column, x: Column) -> Column:
-        words = [F.get(x["p"]["hits"], i + k) for k in range(n)]
+    def wanted(word: Column) -> Column:
+        return F.lit(True) if first_words is None else word.isin(list(first_words))
+
+    def run(n: int, h: Column, x: Column) -> Column:
+        words = [F.get(x["p"]["hits"], h["i"] + k) for k in range(n)]
         written = [words[0]]
         for k in range(1, n):
-            written += [F.get(x["p"]["gaps"], i + k), words[k]]
+            written += [F.get(x["p"]["gaps"], h["i"] + k), words[k]]
         return F.struct(
-            t["start"],
-            F.get(x["tokens"], i + n - 1)["end"].alias("end"),
+            h["start"],
+            F.get(x["tokens"], h["i"] + n - 1)["end"].alias("end"),
             F.concat(*written).alias("text"),
             F.concat_ws(" ", *words).alias("norm"),
         )
 
     def runs(x: Column) -> Column:
-        def of_size(n: int) -> Column:
-            count = F.greatest(F.size(x["tokens"]) - n + 1, F.lit(0))
-            heads = F.slice(x["tokens"], F.lit(1), count)
-            return F.transform(heads, lambda t, i: run(n, t, i, x))
+        numbered = F.transform(
+            x["tokens"],
+            lambda t, i: F.struct(t["start"].alias("start"), t["text"].alias("text"), i.alias("i")),
+        )
+        heads = F.filter(numbered, lambda h: wanted(h["text"]))
 
-        return F.flatten(F.array(*[of_size(n) for n in range(1, longest + 1)]))
+        def of_size(found: Column, n: int) -> Column:
+            fits = F.filter(found, lambda h: h["i"] + n <= F.size(x["tokens"]))
+            return F.transform(fits, lambda h: run(n, h, x))
+
+        return let(
+            heads,
+            lambda found: F.flatten(
+                F.array(*[of_size(found, n) for n in range(1, longest + 1)])
+            ),
+        )
 
-    pieces = let(
+    def located(p: Column) -> Column:
+        return let(F.struct(p.alias("p"), locate(F.array(p)).alias("tokens")), runs)
+
+    return let(
         pattern_hits(text, f"(?U){TOKEN}"),
-        lambda p: F.struct(p.alias("p"), locate(F.array(p)).alias("tokens")),
+        lambda p: F.when(F.exists(p["hits"], wanted), located(p)),
     )
-    return let(pieces, runs)
 
 
 def normalized_terms(dictionary: DataFrame) -> DataFrame:
@@ -74,15 +92,23 @@ def gazetteer_entities(
     The term count and the longest term are read first.  Up to
     ``broadcast_terms`` the dictionary is broadcast and the texts do not move;
     beyond it both sides shuffle on the term, salted so that one very frequent
-    term is spread over ``SALTS`` partitions.
+    term is spread over ``SALTS`` partitions.  A dictionary with few first words
+    (at most ``FILTER_WORDS``) also filters the token runs before the join.
     """
     terms = normalized_terms(dictionary)
-    size = terms.agg(
-        F.count("*").alias("n"), F.coalesce(F.max("n_words"), F.lit(1)).alias("longest")
-    ).first()
-    found = cells(df, key, columns).select(
-        "row_id", "col_idx", "column", F.inline(_ngrams(F.col("text"), size["longest"]))
+    by_head = terms.groupBy(F.substring_index("norm", " ", 1).alias("head")).agg(
+        F.count("*").alias("n"), F.max("n_words").alias("longest")
     )
+    size = by_head.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.coalesce(F.max("longest"), F.lit(1)).alias("longest"),
+        F.count("*").alias("heads"),
+    ).first()
+    first = None
+    if size["heads"] <= FILTER_WORDS:
+        first = [r["head"] for r in by_head.select("head").collect()]
+    runs = _ngrams(F.col("text"), size["longest"], first)
+    found = cells(df, key, columns).select("row_id", "col_idx", "column", F.inline(runs))
     grams = found.select("row_id", "col_idx", "column", "start", "end", "text", "norm")
     pairs = terms.select("norm", "label")
     if size["n"] <= broadcast_terms:

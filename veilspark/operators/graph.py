@@ -325,10 +325,20 @@ MEASURES = ("degree", "betweenness", "closeness")
 
 
 def _ranked(graph: DataFrame, measure: str, limit: int) -> DataFrame:
-    """The strongest nodes by a raw measure; ties follow insertion order."""
+    """The strongest nodes by a raw measure; ties follow insertion order.
+
+    No row can give more than ``limit`` of them, so it offers only its first ones.
+    """
     if measure not in MEASURES:
         raise ValueError(f"measure is one of {MEASURES}")
-    found = graph.select("row_id", F.size("nodes").alias("k"), F.inline("nodes"))
+    nodes = F.col("nodes")
+    if measure == "degree":  # a row's nodes differ by their loops only
+        nodes = F.concat(
+            F.filter(nodes, lambda n: n["self_loop"]), F.filter(nodes, lambda n: ~n["self_loop"])
+        )
+    found = graph.select(
+        "row_id", F.size("nodes").alias("k"), F.inline(F.slice(nodes, 1, limit))
+    )
     loop = F.when(F.col("self_loop"), 2).otherwise(0)
     raw = {
         "degree": F.col("k") - 1 + loop,

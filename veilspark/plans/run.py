@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -19,6 +18,7 @@ from veilspark.operators.proximity import assess, window_pairs
 from veilspark.operators.risk import risk_struct
 from veilspark.plans.report import failed_graph_summary, graph_summary, report
 from veilspark.sources.exports import export_graph, write_report
+from veilspark.sources.stage import drop_stage, stage_path, staged
 from veilspark.sources.tables import (
     InputError, load_csv, read_table, source_format, spread, validate_input, write_masked,
 )
@@ -110,16 +110,6 @@ def scan(
     )
 
 
-def _stage_dir(spark: SparkSession, output_dir: str) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or output_dir}/_scan-{uuid.uuid4().hex}"
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def run(
     spark: SparkSession,
     source: str | DataFrame,
@@ -141,16 +131,20 @@ def run(
     the end unless ``keep_scan``.
     """
     messages: list[str] = []
+    stage = stage_path(spark, output_dir)
     try:
         return _run(
             spark, source, output_dir, key, columns, window, max_mb, masked_format,
-            with_graph_export, keep_scan, messages, options,
+            with_graph_export, stage, messages, options,
         )
     except Exception as e:  # the record carries the first error of any stage
         return RunResult(False, str(e), messages=[*messages, f"Error: {e}"])
+    finally:
+        if not keep_scan:
+            drop_stage(spark, stage)
 
 
-def _load(spark, source, key, columns, max_mb, messages):
+def _load(spark, source, key, columns, max_mb, stage, messages):
     if isinstance(source, DataFrame):
         if key is None:
             raise InputError("a DataFrame needs key=")
@@ -158,7 +152,7 @@ def _load(spark, source, key, columns, max_mb, messages):
     info = validate_input(spark, source, max_mb)
     messages.append(f"Validated input with {info.n_rows} rows and {info.n_columns} columns")
     if source_format(source) == "csv":
-        df, key, text = load_csv(spark, source, key=key)
+        df, key, text = load_csv(spark, source, key=key, stage=f"{stage}/rows")
         return df, key, columns if columns is not None else text
     if key is None:
         raise InputError("a keyless table must be CSV; give key=")
@@ -167,17 +161,15 @@ def _load(spark, source, key, columns, max_mb, messages):
 
 def _run(
     spark, source, output_dir, key, columns, window, max_mb, masked_format,
-    with_graph_export, keep_scan, messages, options,
+    with_graph_export, stage, messages, options,
 ) -> RunResult:
     name = source if isinstance(source, str) else "DataFrame"
     keyless = isinstance(source, str) and key is None
-    df, key, columns = _load(spark, source, key, columns, max_mb, messages)
+    df, key, columns = _load(spark, source, key, columns, max_mb, stage, messages)
     if columns is None:
         columns = text_columns(df, key)
 
-    stage = _stage_dir(spark, output_dir)
-    scan(spread(df, key), key, columns, window, **options).write.parquet(stage)
-    done = spark.read.parquet(stage)
+    done = staged(scan(spread(df, key), key, columns, window, **options), f"{stage}/scan")
     hits = done.filter(F.size("entities") > 0)
     rows = hits.select("row_id", "row_text", "entities")
     risks = hits.select("row_id", "risk.*")
@@ -230,8 +222,6 @@ def _run(
     masked = done.select("masked.*")
     write_masked(masked.drop(key) if keyless else masked, masked_path, masked_format)
     messages.append(f"Masked table saved to {masked_path}")
-    if not keep_scan:
-        _delete(spark, stage)
     return RunResult(
         True, None, report_path, masked_path, details, graph_path, messages
     )

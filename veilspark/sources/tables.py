@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from veilspark import constants as K
 from veilspark.operators.cells import _named
+from veilspark.sources.stage import stage_path, staged
 
 EXTRA = "__extra"
+BROADCAST_BLOCKS = 500_000
 _NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|inf|Inf|INF|infinity|Infinity)\s*$"
 
 
@@ -98,23 +100,31 @@ def text_like_columns(df: DataFrame) -> list[str]:
     return text
 
 
-def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
+def with_row_id(df: DataFrame, name: str = "row_id", stage: str | None = None) -> DataFrame:
     """Number the rows of a file-based frame 0..N-1 in file order.
 
-    Rows are counted per file block, the counts are summed up, and each row adds
-    its place inside its block; nothing leaves the executors but one count per block.
+    The rows are staged with the file block they came from (block borders may
+    change from one read to the next, a written table does not), counted per
+    block, and each row adds its place in its block to the count of the blocks
+    before.  There is one count per block, so the window and the broadcast stay
+    small; the broadcast is checked all the same.
     """
-    placed = df.select(
-        "*",
-        F.monotonically_increasing_id().alias("_place"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
+    placed = staged(
+        df.select(
+            "*",
+            F.monotonically_increasing_id().alias("_place"),
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+        ),
+        stage or stage_path(df.sparkSession),
     )
     blocks = placed.groupBy("_file", "_block").agg(
         F.count("*").alias("_n"), F.min("_place").alias("_first")
     )
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    if blocks.count() <= BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
     return (
         placed.join(offsets, ["_file", "_block"])
         .withColumn(name, F.col("_base") + F.col("_place") - F.col("_first"))
@@ -123,12 +133,19 @@ def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
 
 
 def load_csv(
-    spark: SparkSession, path: str, multi_line: bool | None = None, key: str | None = None
+    spark: SparkSession,
+    path: str,
+    multi_line: bool | None = None,
+    key: str | None = None,
+    stage: str | None = None,
 ) -> tuple[DataFrame, str, list[str]]:
-    """A CSV table ready for analysis: the frame, its key and its text columns."""
+    """A CSV table ready for analysis: the frame, its key and its text columns.
+
+    Without ``key`` the row position is the key, in a column ``row_id``.
+    """
     raw = read_csv(spark, path, multi_line)
     columns = [c for c in raw.columns if c != EXTRA]
-    table = refuse_ragged(raw if key in columns else with_row_id(raw))
+    table = refuse_ragged(raw if key in columns else with_row_id(raw, stage=stage))
     key = key if key in columns else "row_id"
     names = [c for c in columns if c != key]
     clean = table.select(_named(key), *[_known(c) for c in names])
@@ -194,10 +211,14 @@ def write_masked(df: DataFrame, path: str, fmt: str = "csv") -> None:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a frame that comes in fewer partitions than cores one per core.
+    """Give a scan that comes in fewer partitions than cores one per core.
 
     Detection is all CPU; a small or single-block file would keep one core busy.
-    A large input has more splits than cores and is left as it is.
+    A large input has more splits than cores and is left as it is, and so is a
+    frame that already shuffles (asking for its partitions would run it).
     """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "AdaptiveSparkPlan" in plan:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, _named(key)) if df.rdd.getNumPartitions() < cores else df
