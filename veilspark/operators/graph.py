@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from veilspark import constants as K
 from veilspark.functions.arrays import let, lookup
 from veilspark.operators.inference import inferred_array
-from veilspark.operators.proximity import pair_in
+from veilspark.operators.proximity import codes_in, type_code
 
 EDGE_TILE = 128
 
@@ -58,6 +58,8 @@ def _merge_ids(raw: Column) -> Column:
                 "column", "text", "type", "start", "end", "confidence", "method", "risk_level",
             )],
             loop.alias("self_loop"),
+            weight_of(x["type"]).alias("weight"),
+            type_code(x["type"]).alias("code"),
             F.when(loop, F.get(items, F.greatest(last["at"] - 1, F.lit(0)))["type"])
             .alias("other_type"),
         )
@@ -123,35 +125,28 @@ def graph_nodes(graph: DataFrame) -> DataFrame:
     return found.select(
         "n.node_id", "row_id", "n.column", "n.text", "n.type", "n.start", "n.end",
         "n.confidence", "n.method", "n.risk_level", "n.self_loop", "n.kind", "n.node_ord",
-        weight_of(F.col("n.type")).alias("weight"),
+        "n.weight",
     )
 
 
-def _cooccurrence_weight(t1: Column, t2: Column) -> Column:
-    base = F.sqrt(weight_of(t1) * weight_of(t2))
-    return F.when(pair_in(t1, t2, K.BOOSTED_PAIRS), base * K.BOOST).otherwise(base)
-
-
-def _proximity_weight(t1: Column, t2: Column, distance: Column, window: int) -> Column:
-    near = F.greatest(F.lit(0.1), F.lit(1.0) - distance / F.lit(float(window)))
-    return F.sqrt(weight_of(t1) * weight_of(t2)) * near
-
-
 def _edge(a: Column, b: Column, window: int, proximity: bool, loop: bool = False) -> Column:
     """The edge between two nodes of one row.
 
-    A relation between two detected entities overwrites the co-occurrence
-    weight.  Ids hold the start, so all relations of a node pair have one
-    distance, and the last relation is the one of the last attributes given.
+    Every edge starts as a co-occurrence.  A relation between two detected
+    entities overwrites its weight.  Ids hold the start, so all relations of a
+    node pair have one distance, and the last relation is the one of the last
+    attributes given.
     """
-    t1 = a["other_type"] if loop else a["type"]
+    mean = F.sqrt(a["weight"] * b["weight"])
+    together = F.when(codes_in(a["code"], b["code"], K.BOOSTED_PAIRS), mean * K.BOOST)
+    related = F.sqrt(weight_of(a["other_type"]) * b["weight"]) if loop else mean
     distance = F.abs(a["start"] - b["start"])
     near = F.lit(proximity) & (a["kind"] == 0) & (b["kind"] == 0) & (distance <= window)
+    fade = F.greatest(F.lit(0.1), F.lit(1.0) - distance / F.lit(float(window)))
     return F.struct(
         F.least(a["node_id"], b["node_id"]).alias("src"),
         F.greatest(a["node_id"], b["node_id"]).alias("dst"),
-        F.when(near, _proximity_weight(t1, b["type"], distance, window))
-        .otherwise(_cooccurrence_weight(a["type"], b["type"])).alias("weight"),
+        F.when(near, related * fade).otherwise(F.coalesce(together, mean)).alias("weight"),
         F.when(near, F.lit("proximity")).otherwise(F.lit("cooccurrence")).alias("relation_type"),
         F.when(near, distance).alias("distance"),
     )
@@ -296,7 +291,7 @@ def components(graph: DataFrame) -> DataFrame:
     Unordered; ``orderBy(desc("risk_score"))`` gives the ranking when wanted.
     """
     nodes = F.col("nodes")
-    weights = F.aggregate(nodes, F.lit(0.0), lambda acc, n: acc + weight_of(n["type"]))
+    weights = F.aggregate(nodes, F.lit(0.0), lambda acc, n: acc + n["weight"])
     return graph.select(
         F.col("row_id").alias("component_id"),
         F.size(nodes).alias("size"),

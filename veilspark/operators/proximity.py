@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veilspark import constants as K
-from veilspark.functions.arrays import let
+from veilspark.functions.arrays import let, lookup
 
 TILE = 32
 ENTITY_FIELDS = ["text", "label", "type", "start", "end", "confidence", "method"]
@@ -19,9 +19,26 @@ def pair_in(type1: Column, type2: Column, pairs: Sequence[tuple[str, str]]) -> C
     return F.concat_ws("|", F.least(type1, type2), F.greatest(type1, type2)).isin(known)
 
 
-def pair_risk(type1: Column, type2: Column, distance: Column, window: int) -> Column:
+_CODES = {t: 1 << i for i, t in enumerate(sorted({t for p in K.HIGH_RISK_PAIRS for t in p}))}
+
+
+def type_code(type_: Column) -> Column:
+    """One bit per type that occurs in a pair rule, 0 for all others.
+
+    Taken once per entity, so that the test of a pair is one integer operation.
+    """
+    return lookup(_CODES, type_, 0)
+
+
+def codes_in(code1: Column, code2: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    """``pair_in`` on codes."""
+    return code1.bitwiseOR(code2).isin([_CODES[a] | _CODES[b] for a, b in pairs])
+
+
+def pair_risk(hot: Column, distance: Column, window: int) -> Column:
+    """Level of a pair; ``hot`` says that its types form a high-risk combination."""
     return (
-        F.when(pair_in(type1, type2, K.HIGH_RISK_PAIRS), F.lit("high"))
+        F.when(hot, F.lit("high"))
         .when(distance < window // 2, F.lit("medium"))
         .otherwise(F.lit("low"))
     )
@@ -51,6 +68,7 @@ def window_pairs(entities: Column, window: int, row_text: Column | None = None)
             (e["start"] + e["base"]).alias("at"),
             ord_.alias("ord"),
             _rebased(e).alias("e"),
+            type_code(e["type"]).alias("code"),
         ]
         if with_text:
             after = F.substring(row_text, e["end"] + e["base"] + 1, F.lit(window))
@@ -66,6 +84,7 @@ def window_pairs(entities: Column, window: int, row_text: Column | None = None)
             lo.alias("e1"),
             hi.alias("e2"),
             (b["at"] - a["at"]).alias("distance"),
+            codes_in(a["code"], b["code"], K.HIGH_RISK_PAIRS).alias("hot"),
         ]
         if with_text:
             ends_first = a["e"]["end"] <= b["e"]["end"]
@@ -111,7 +130,7 @@ def window_pairs(entities: Column, window: int, row_text: Column | None = None)
 def relations(rows: DataFrame, window: int = K.WINDOW) -> DataFrame:
     """One row per entity pair within the window (map-only)."""
     pairs = window_pairs(F.col("entities"), window, F.col("row_text"))
-    return rows.select("row_id", F.inline(pairs))
+    return rows.select("row_id", F.inline(pairs)).drop("hot")
 
 
 def band_pairs(detections: DataFrame, window: int = K.WINDOW) -> DataFrame:
@@ -155,6 +174,8 @@ def assess(pairs: DataFrame, window: int = K.WINDOW) -> DataFrame:
     known = pairs.filter(F.col("type1").isNotNull() & F.col("type2").isNotNull())
     return known.select(
         "row_id", "ord1", "ord2", "type1", "type2", "distance",
-        pair_risk(F.col("type1"), F.col("type2"), F.col("distance"), window).alias("risk_level"),
+        pair_risk(
+            pair_in(F.col("type1"), F.col("type2"), K.HIGH_RISK_PAIRS), F.col("distance"), window
+        ).alias("risk_level"),
         F.format_string("Proximity of %s and %s", "type1", "type2").alias("reason"),
     )

@@ -60,7 +60,7 @@ def risk_struct(row_text: Column, pairs: Column, window: int) -> Column:
     """Everything known about one row's risk, as a struct, from its window pairs."""
     levels = F.transform(
         F.coalesce(pairs, F.array()),
-        lambda p: pair_risk(p["e1"]["type"], p["e2"]["type"], p["distance"], window),
+        lambda p: pair_risk(p["hot"], p["distance"], window),
     )
 
     def count(found: Column, level: str) -> Column:

@@ -175,7 +175,7 @@ def _run(
     risks = hits.select("row_id", "risk.*")
 
     details = f"{output_dir}/details"
-    pairs = hits.select("row_id", F.inline("pairs"))
+    pairs = hits.select("row_id", F.inline("pairs")).drop("hot")
     tables = {
         "detections": rows.select(
             "row_id", F.posexplode("entities").alias("ent_ord", "e")
