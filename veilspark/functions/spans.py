@@ -69,3 +69,25 @@ def cut_after_last(text: Column, regex: str) -> Column:
         F.rlike(text, F.lit(regex)),
         F.substring(text, F.lit(1), F.length(text) - F.length(rest)),
     ).otherwise(F.lit(""))
+
+
+BLOCK = 1024
+
+
+def blocks(text: Column) -> Column:
+    """The text cut into blocks of ``BLOCK`` code points, in one pass.
+
+    ``substring`` walks a string from its beginning; taking many pieces of a long
+    text is only linear when each is taken from its own block.
+    """
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def piece(parts: Column, start: Column, length: Column) -> Column:
+    """``text[start:start + length]`` from the blocks of ``text``."""
+    first = F.floor(start / F.lit(BLOCK)).cast("int")
+    last = F.floor((start + length) / F.lit(BLOCK)).cast("int")
+    near = F.array_join(F.slice(parts, first + 1, last - first + 1), "")
+    return F.when(
+        length > 0, F.substring(near, start - first * BLOCK + 1, length)
+    ).otherwise(F.lit(""))

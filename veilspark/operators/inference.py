@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from veilspark import constants as K
 from veilspark.functions.arrays import constant, let
 from veilspark.functions.dialect import jvm_pattern
-from veilspark.functions.spans import cut_after_last, locate, pattern_hits
+from veilspark.functions.spans import blocks, cut_after_last, locate, pattern_hits, piece
 
 _LETTER = "[A-Z]"
 _LONE = jvm_pattern(rf"(?<!{_LETTER}){_LETTER}(?!{_LETTER})", "i")
@@ -66,8 +66,8 @@ def combinations(text: Column) -> Column:
     )
     blotted = _ORDER.index("zip_with_org")
 
-    def inferred(s: Column) -> Column:
-        written = F.substring(text, s["start"] + 1, s["end"] - s["start"])
+    def inferred(s: Column, parts: Column) -> Column:
+        written = piece(parts, s["start"], s["end"] - s["start"])
         return F.struct(
             F.when(s["tag"] == blotted, written).otherwise(s["text"]).alias("text"),
             F.get(types, s["tag"]).alias("type"),
@@ -80,15 +80,27 @@ def combinations(text: Column) -> Column:
             F.lit("high").alias("risk_level"),
         )
 
-    return F.transform(locate(found), inferred)
+    return let(
+        locate(found),
+        lambda spans: let(
+            F.when(F.size(spans) > 0, blocks(text)),
+            lambda parts: F.transform(spans, lambda s: inferred(s, parts)),
+        ),
+    )
 
 
-def context_window(row_text: Column, e: Column, window: int) -> Column:
-    """The entity and half a window of row text on either side."""
+def _windows(row_text: Column, entities: Column, window: int) -> Column:
+    """``array<struct<e, context>>``: each entity with half a window of row text
+    on either side of it."""
     half = window // 2
-    start = F.greatest(e["start"] + e["base"] - half, F.lit(0))
-    end = F.least(e["end"] + e["base"] + half, F.length(row_text))
-    return F.substring(row_text, start + 1, F.greatest(end - start, F.lit(0)))
+
+    def one(e: Column, x: Column) -> Column:
+        start = F.greatest(e["start"] + e["base"] - half, F.lit(0))
+        end = F.least(e["end"] + e["base"] + half, x["length"])
+        return F.struct(e.alias("e"), piece(x["parts"], start, end - start).alias("context"))
+
+    text = F.struct(blocks(row_text).alias("parts"), F.length(row_text).alias("length"))
+    return let(text, lambda x: F.transform(entities, lambda e: one(e, x)))
 
 
 def keyword_table() -> Column:
@@ -116,10 +128,8 @@ def indicators(context: Column) -> Column:
 def from_context(row_text: Column, entities: Column, window: int) -> Column:
     """Entities that stand near at least one context keyword."""
     seen = F.transform(
-        entities,
-        lambda e: F.struct(
-            e.alias("e"), indicators(context_window(row_text, e, window)).alias("ind")
-        ),
+        _windows(row_text, entities, window),
+        lambda x: F.struct(x["e"].alias("e"), indicators(x["context"]).alias("ind")),
     )
     return F.transform(
         F.filter(seen, lambda x: F.size(x["ind"]) > 0),
@@ -157,16 +167,13 @@ def inferred(rows: DataFrame, window: int = K.WINDOW, kind: str = "all") -> Data
 def contexts(rows: DataFrame, window: int = K.WINDOW) -> DataFrame:
     """Context window and its indicators, one row per entity."""
 
-    def of(e: Column) -> Column:
-        ctx = context_window(F.col("row_text"), e, window)
-        return let(
-            ctx,
-            lambda c: F.struct(
-                e["type"].alias("type"), c.alias("context"), indicators(c).alias("indicators")
-            ),
+    def of(x: Column) -> Column:
+        return F.struct(
+            x["e"]["type"].alias("type"),
+            x["context"].alias("context"),
+            indicators(x["context"]).alias("indicators"),
         )
 
-    found = rows.select(
-        "row_id", F.posexplode(F.transform("entities", of)).alias("ent_ord", "c")
-    )
+    seen = F.transform(_windows(F.col("row_text"), F.col("entities"), window), of)
+    found = rows.select("row_id", F.posexplode(seen).alias("ent_ord", "c"))
     return found.select("row_id", "ent_ord", "c.*")

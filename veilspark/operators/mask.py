@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from veilspark import constants as K
 from veilspark.functions.arrays import chunked, let
 from veilspark.functions.dialect import detection_regex, mask_regex
+from veilspark.functions.spans import blocks, piece
 from veilspark.operators.cells import _named, chosen_columns
 from veilspark.operators.detect import ModelHook, _prepare, cell_spans
 
@@ -39,9 +40,9 @@ def mask_spans(text: Column, spans: Column) -> Column:
         )
         return F.struct(masked.alias("piece"), (state["spill"] + over).alias("spill"))
 
-    def chunk(state: Column, part: Column) -> Column:
+    def chunk(state: Column, part: Column, parts: Column) -> Column:
         def run(lo: Column) -> Column:
-            stretch = F.substring(text, lo + 1, state["at"] - lo)
+            stretch = piece(parts, lo, state["at"] - lo)
             first = F.struct(stretch.alias("piece"), F.lit(0).alias("spill"))
             return let(
                 F.aggregate(part, first, lambda st, s: cut(st, s, lo)),
@@ -49,8 +50,10 @@ def mask_spans(text: Column, spans: Column) -> Column:
                     lo.alias("at"),
                     F.concat(
                         done["piece"],
-                        F.substring(
-                            state["tail"], done["spill"] + 1, F.length(state["tail"])
+                        F.when(done["spill"] == 0, state["tail"]).otherwise(
+                            F.substring(
+                                state["tail"], done["spill"] + 1, F.length(state["tail"])
+                            )
                         ),
                     ).alias("tail"),
                 ),
@@ -58,34 +61,39 @@ def mask_spans(text: Column, spans: Column) -> Column:
 
         return let(F.element_at(part, -1)["start"], run)
 
-    def folded(items: Column) -> Column:
+    def folded(items: Column, parts: Column) -> Column:
         start = F.struct(F.length(text).alias("at"), F.lit("").alias("tail"))
         return F.aggregate(
-            chunked(items, SPAN_CHUNK), start, chunk,
+            chunked(items, SPAN_CHUNK), start, lambda st, p: chunk(st, p, parts),
             lambda st: F.concat(F.substring(text, F.lit(1), st["at"]), st["tail"]),
         )
 
-    return F.when(F.size(spans) == 0, text).otherwise(let(backwards, folded))
+    masked = let(blocks(text), lambda parts: let(backwards, lambda b: folded(b, parts)))
+    return F.when(F.size(spans) == 0, text).otherwise(masked)
 
 
 def mask_merged(text: Column, spans: Column) -> Column:
     """Like ``mask_spans``, but overlapping spans become one mask."""
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
-    def step(st: Column, s: Column) -> Column:
-        apart = s["start"] >= st["at"]
-        gap = F.substring(text, st["at"] + 1, s["start"] - st["at"])
+    def step(st: Column, s: Column, parts: Column) -> Column:
+        apart = (s["start"] >= st["at"]) | (st["out"] == "")
+        gap = piece(parts, st["at"], s["start"] - st["at"])
         return F.struct(
-            F.when(apart, F.concat(st["out"], gap, F.lit(K.MASK)))
-            .when((s["start"] == 0) & (st["at"] == 0), F.lit(K.MASK))
-            .otherwise(st["out"]).alias("out"),
+            F.when(apart, F.concat(st["out"], gap, F.lit(K.MASK))).otherwise(st["out"])
+            .alias("out"),
             F.greatest(st["at"], s["end"]).alias("at"),
         )
 
-    return F.aggregate(
-        spans, start, step,
-        lambda st: F.concat(st["out"], F.substring(text, st["at"] + 1, F.length(text))),
-    )
+    def folded(parts: Column) -> Column:
+        return F.aggregate(
+            spans, start, lambda st, s: step(st, s, parts),
+            lambda st: F.concat(
+                st["out"], piece(parts, st["at"], F.length(text) - st["at"])
+            ),
+        )
+
+    return F.when(F.size(spans) == 0, text).otherwise(let(blocks(text), folded))
 
 
 def mask_patterns(text: Column) -> Column:

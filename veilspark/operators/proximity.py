@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from veilspark import constants as K
 from veilspark.functions.arrays import let, lookup
+from veilspark.functions.spans import blocks, piece
 
 TILE = 32
 ENTITY_FIELDS = ["text", "label", "type", "start", "end", "confidence", "method"]
@@ -56,14 +57,14 @@ def window_pairs(entities: Column, window: int, row_text: Column | None = None)
     """All pairs with ``|start1 - start2| <= window`` of one row, as an array.
 
     The entities are sorted by start and cut into tiles; a tile is only compared
-    with the entities up to its last start plus the window, so the work grows with
-    the number of pairs and not with the square of the entities.
+    with the tiles that begin up to its last start plus the window, so the work
+    grows with the number of pairs and not with the square of the entities.
     With ``row_text`` each pair also gets the text between its two entities, cut
     from a snippet of at most ``window`` characters kept per entity.
     """
     with_text = row_text is not None
 
-    def item(e: Column, ord_: Column) -> Column:
+    def item(e: Column, ord_: Column, text: Column | None) -> Column:
         parts = [
             (e["start"] + e["base"]).alias("at"),
             ord_.alias("ord"),
@@ -71,8 +72,7 @@ def window_pairs(entities: Column, window: int, row_text: Column | None = None)
             type_code(e["type"]).alias("code"),
         ]
         if with_text:
-            after = F.substring(row_text, e["end"] + e["base"] + 1, F.lit(window))
-            parts.append(after.alias("after"))
+            parts.append(piece(text, e["end"] + e["base"], F.lit(window)).alias("after"))
         return F.struct(*parts)
 
     def pair(a: Column, b: Column) -> Column:
@@ -95,10 +95,10 @@ def window_pairs(entities: Column, window: int, row_text: Column | None = None)
             )
         return F.struct(*parts)
 
-    def tile_pairs(items: Column, begin: Column) -> Column:
+    def tile_pairs(items: Column, starts: Column, begin: Column) -> Column:
         def against(head: Column) -> Column:
             limit = F.element_at(head, -1)["at"] + window
-            reach = F.size(F.filter(items, lambda x: x["at"] <= limit))
+            reach = F.size(F.filter(starts, lambda s: s <= limit)) * TILE
             near = F.slice(items, begin + 1, reach - begin)
             return let(
                 near,
@@ -119,12 +119,20 @@ def window_pairs(entities: Column, window: int, row_text: Column | None = None)
 
     def all_tiles(items: Column) -> Column:
         begins = F.sequence(F.lit(0), F.size(items) - 1, F.lit(TILE))
-        return F.flatten(F.transform(begins, lambda b: tile_pairs(items, b)))
+        starts = F.transform(begins, lambda b: F.get(items, b)["at"])
+        return let(
+            starts,
+            lambda s: F.flatten(F.transform(begins, lambda b: tile_pairs(items, s, b))),
+        )
 
-    ordered = F.array_sort(F.transform(entities, item))
-    return F.when(
-        F.size(entities) > 1, let(ordered, all_tiles)
-    )
+    if with_text:
+        located = let(
+            blocks(row_text),
+            lambda parts: F.transform(entities, lambda e, i: item(e, i, parts)),
+        )
+    else:
+        located = F.transform(entities, lambda e, i: item(e, i, None))
+    return F.when(F.size(entities) > 1, let(F.array_sort(located), all_tiles))
 
 
 def relations(rows: DataFrame, window: int = K.WINDOW) -> DataFrame:
