@@ -13,6 +13,7 @@ from veilspark.operators.cells import _named, cells, row_text
 
 TOKEN = r"[\p{L}\p{N}_]+"
 BROADCAST_TERMS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 FILTER_WORDS = 500
 SALTS = 16
 
@@ -89,19 +90,22 @@ def gazetteer_entities(
 ) -> DataFrame:
     """Every dictionary term found in the text cells, with offsets.
 
-    The term count and the longest term are read first.  Up to
-    ``broadcast_terms`` the dictionary is broadcast and the texts do not move;
+    The dictionary's term count, bytes and longest term are read first.  Up to
+    ``broadcast_terms`` and ``BROADCAST_BYTES`` it is broadcast and the texts do not move;
     beyond it both sides shuffle on the term, salted so that one very frequent
     term is spread over ``SALTS`` partitions.  A dictionary with few first words
     (at most ``FILTER_WORDS``) also filters the token runs before the join.
     """
     terms = normalized_terms(dictionary)
     by_head = terms.groupBy(F.substring_index("norm", " ", 1).alias("head")).agg(
-        F.count("*").alias("n"), F.max("n_words").alias("longest")
+        F.count("*").alias("n"),
+        F.max("n_words").alias("longest"),
+        F.sum(F.octet_length("norm") + F.octet_length("label")).alias("bytes"),
     )
     size = by_head.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.coalesce(F.max("longest"), F.lit(1)).alias("longest"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
         F.count("*").alias("heads"),
     ).first()
     first = None
@@ -111,7 +115,7 @@ def gazetteer_entities(
     found = cells(df, key, columns).select("row_id", "col_idx", "column", F.inline(runs))
     grams = found.select("row_id", "col_idx", "column", "start", "end", "text", "norm")
     pairs = terms.select("norm", "label")
-    if size["n"] <= broadcast_terms:
+    if size["n"] <= broadcast_terms and size["bytes"] <= BROADCAST_BYTES:
         hits = grams.join(F.broadcast(pairs), "norm")
     else:
         salt = F.pmod(F.xxhash64("row_id", "col_idx", "start"), F.lit(SALTS)).cast("int")

@@ -17,6 +17,7 @@ from veilspark.operators.inference import inferred_array
 from veilspark.operators.proximity import codes_in, type_code
 
 EDGE_TILE = 128
+BROADCAST_NODES = 10_000
 
 
 def weight_of(type_: Column) -> Column:
@@ -362,8 +363,10 @@ def top_subgraph(
 ) -> tuple[DataFrame, DataFrame]:
     """The ``max_nodes`` nodes of highest degree and the edges among them."""
     top = _ranked(graph, "degree", max_nodes).select("node_id", "row_id")
-    ids = F.broadcast(top.select("node_id"))
-    kept = graph.join(F.broadcast(top.select("row_id").distinct()), "row_id", "left_semi")
+    ids, top_rows = top.select("node_id"), top.select("row_id").distinct()
+    if max_nodes <= BROADCAST_NODES:  # the limit bounds both
+        ids, top_rows = F.broadcast(ids), F.broadcast(top_rows)
+    kept = graph.join(top_rows, "row_id", "left_semi")
     nodes = graph_nodes(kept).join(ids, "node_id", "left_semi")
     edges = graph_edges(kept, window)
     for end in ("src", "dst"):
