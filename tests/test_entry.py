@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from queryset.oracle import ORACLE
+from queryset.spark_queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +31,9 @@ def rows_of(columns, rows):
 
 
 def test_names():
-    assert set(ORACLE) <= set(QUERIES) and len(QUERIES) == len(ORACLE)
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_flagship(spark):
