@@ -5,10 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 
 from veilspark.llm.bpe import bpe_round_trip
+from veilspark.llm.decontaminate import leaks
 from veilspark.llm.frames import table
+from veilspark.llm.language import identify
 from veilspark.llm.token_counts import token_counts
 
 
+def op2_decontaminate(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op5_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_round_trip(
@@ -17,13 +24,19 @@ def op5_bpe(spark, sf_dir):
     )
 
 
+def op6_language(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op10_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
     "op5_bpe": op5_bpe,
+    "op6_language": op6_language,
     "op10_token_counts": op10_token_counts,
 }
 
