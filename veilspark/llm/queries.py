@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from veilspark.llm.bpe import bpe_round_trip
 from veilspark.llm.decontaminate import leaks
 from veilspark.llm.frames import table
 from veilspark.llm.language import identify
+from veilspark.llm.repeats import remove_repeats
 from veilspark.llm.token_counts import token_counts
 
 
@@ -28,6 +30,11 @@ def op6_language(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op7_repeats(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -37,7 +44,22 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op5_bpe": op5_bpe,
     "op6_language": op6_language,
+    "op7_repeats": op7_repeats,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_repeats": r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (select doc_id, i, array_to_string(w[i:i + 34], ' ') as s
+        from (select doc_id, w, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35)),
+rep as (select doc_id, i from win where s in (select s from win group by s having count(*) > 1)),
+cov as (select distinct doc_id, unnest(range(i, i + 35)) as k from rep),
+word as (select doc_id, unnest(w) as x, unnest(range(1, len(w) + 1)) as k from d),
+kept as (select doc_id, string_agg(x, ' ' order by k) as t
+         from word anti join cov using (doc_id, k) group by doc_id),
+gone as (select doc_id, count(*) as n from cov group by doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(gone.n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join kept using (doc_id) left join gone using (doc_id)
+""",
+}
