@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from veilspark.llm.bpe import bpe_round_trip
 from veilspark.llm.decontaminate import leaks
 from veilspark.llm.frames import table
+from veilspark.llm.jaccard import jaccard_components
 from veilspark.llm.language import identify
 from veilspark.llm.repeats import remove_repeats
 from veilspark.llm.token_counts import token_counts
@@ -35,6 +36,11 @@ def op7_repeats(spark, sf_dir):
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_jaccard(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_components(docs, keep=["doc_id"])
+
+
 def op10_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -45,6 +51,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_language": op6_language,
     "op7_repeats": op7_repeats,
+    "op8_jaccard": op8_jaccard,
     "op10_token_counts": op10_token_counts,
 }
 
@@ -61,5 +68,21 @@ kept as (select doc_id, string_agg(x, ' ' order by k) as t
 gone as (select doc_id, count(*) as n from cov group by doc_id)
 select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(gone.n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
 from d left join kept using (doc_id) left join gone using (doc_id)
+""",
+    "op8_jaccard": r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) end) as g from d),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select x.doc_id as a, y.doc_id as b, count(*) as k
+      from s x join s y on x.g = y.g and x.doc_id < y.doc_id group by 1, 2),
+link as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b
+         where 100 * k >= 90 * (na.n + nb.n - k)),
+edge as (select a, b from link union all select b, a from link),
+reach as (select doc_id as a, doc_id as b from d union select r.a, e.b from reach r join edge e on r.b = e.a)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id
+from d left join n using (doc_id) join (select a as doc_id, min(b) as component_id from reach group by a) c using (doc_id)
 """,
 }
