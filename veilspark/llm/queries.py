@@ -10,6 +10,7 @@ from veilspark.llm.decontaminate import leaks
 from veilspark.llm.frames import table
 from veilspark.llm.jaccard import jaccard_components
 from veilspark.llm.language import identify
+from veilspark.llm.quality_rules import quality_verdicts
 from veilspark.llm.repeats import remove_repeats
 from veilspark.llm.token_counts import token_counts
 
@@ -19,6 +20,11 @@ def op2_decontaminate(spark, sf_dir):
     return leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op3_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_verdicts(docs).drop("n_lines", "n_upper", "n_distinct")
+
+
 def op5_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_round_trip(
@@ -48,6 +54,7 @@ def op10_token_counts(spark, sf_dir):
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
+    "op3_quality_rules": op3_quality_rules,
     "op5_bpe": op5_bpe,
     "op6_language": op6_language,
     "op7_repeats": op7_repeats,
