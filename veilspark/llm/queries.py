@@ -10,6 +10,7 @@ from veilspark.llm.decontaminate import leaks
 from veilspark.llm.frames import table
 from veilspark.llm.jaccard import jaccard_components
 from veilspark.llm.language import identify
+from veilspark.llm.quality_model import quality_scores
 from veilspark.llm.quality_rules import quality_verdicts
 from veilspark.llm.repeats import remove_repeats
 from veilspark.llm.token_counts import token_counts
@@ -47,6 +48,11 @@ def op8_jaccard(spark, sf_dir):
     return jaccard_components(docs, keep=["doc_id"])
 
 
+def op9_quality_model(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_scores(docs, table(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -59,6 +65,7 @@ QUERIES = {
     "op6_language": op6_language,
     "op7_repeats": op7_repeats,
     "op8_jaccard": op8_jaccard,
+    "op9_quality_model": op9_quality_model,
     "op10_token_counts": op10_token_counts,
 }
 
