@@ -10,6 +10,7 @@ from veilspark.llm.decontaminate import leaks
 from veilspark.llm.frames import table
 from veilspark.llm.jaccard import jaccard_components
 from veilspark.llm.language import identify
+from veilspark.llm.ppm import ppm_scores
 from veilspark.llm.quality_model import quality_scores
 from veilspark.llm.quality_rules import quality_verdicts
 from veilspark.llm.repeats import remove_repeats
@@ -26,6 +27,10 @@ def op3_quality_rules(spark, sf_dir):
     return quality_verdicts(docs).drop("n_lines", "n_upper", "n_distinct")
 
 
+def op4_ppm(spark, sf_dir):
+    return ppm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_round_trip(
@@ -61,6 +66,7 @@ def op10_token_counts(spark, sf_dir):
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_quality_rules": op3_quality_rules,
+    "op4_ppm": op4_ppm,
     "op5_bpe": op5_bpe,
     "op6_language": op6_language,
     "op7_repeats": op7_repeats,
