@@ -10,6 +10,7 @@ from veilspark.llm.decontaminate import leaks
 from veilspark.llm.frames import table
 from veilspark.llm.jaccard import jaccard_components
 from veilspark.llm.language import identify
+from veilspark.llm.lines import line_report
 from veilspark.llm.ppm import ppm_scores
 from veilspark.llm.quality_model import quality_scores
 from veilspark.llm.quality_rules import quality_verdicts
@@ -17,6 +18,10 @@ from veilspark.llm.repeats import remove_repeats
 from veilspark.llm.token_counts import token_counts
 
 
+def op1_line_dedup(spark, sf_dir):
+    return line_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -64,6 +69,7 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_quality_rules": op3_quality_rules,
     "op4_ppm": op4_ppm,
