@@ -217,7 +217,7 @@ def bpe_round_trip(
         bpe = _bpe(path, pattern)
         make = {
             "n_tokens": lambda e: sum(x[0] for x in e),
-            "ids": lambda e: [int(i) for x in e for i in x[1].split(",")],
+            "ids": lambda e: np.fromstring(",".join([x[1] for x in e]), np.int32, sep=","),
             "decoded": lambda e: b"".join([x[2] for x in e]),
             "ids_sha256": lambda e: hashlib.sha256(",".join([x[1] for x in e]).encode()).hexdigest(),
             "decoded_sha256": lambda e: hashlib.sha256(b"".join([x[2] for x in e])).hexdigest(),
