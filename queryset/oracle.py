@@ -390,10 +390,10 @@ _REPORT = f"""{_FULL}
   (select string_agg(line, '|' order by ord) from advice) as recommendations from tot"""
 
 _TEXT = f"""{_FULL},
- ty as (select row_number() over (order by type) as i, array_to_string(list_transform(str_split(type, '_'), lambda w: w), '_') as t, count(*) as c from det group by type),
+ ty as (select row_number() over (order by type) as i, array_to_string(list_transform(str_split(type, '_'), lambda w: upper(w[1]) || lower(w[2:])), '_') as t, count(*) as c from det group by type),
  lines as (
   select 0 as a, 0 as b, 'Total PII Entities Detected: ' || (select count(*) from det) as line
-  union all select 1, i, upper(t[1]) || lower(t[2:]) || ': ' || c from ty
+  union all select 1, i, t || ': ' || c from ty
   union all select 2, 0, 'High Risk Rows: ' || (select count_if(overall_risk = 'high') from rr)
   union all select 2, 1, 'Medium Risk Rows: ' || (select count_if(overall_risk = 'medium') from rr)
   union all select 2, 2, 'Low Risk Rows: ' || (select count_if(overall_risk = 'low') from rr)

@@ -73,14 +73,14 @@ def test_long_cell_offsets(texts):
 
 
 SAMPLE = [
-    ("John Doe", "john.doe@email.com", "555-123-4567", "123 Main St New York NY 10001",
-     "Works at ABC Corp"),
-    ("Jane Smith", "jane.smith@company.org", "(555) 987-6543", "456 Oak Ave Los Angeles CA 90210",
-     "SSN: 123-45-6789"),
-    ("Bob Johnson", "bob@test.net", "555.111.2222", "789 Pine Rd Chicago IL 60601",
-     "Credit card: 4532-1234-5678-9012"),
-    ("Alice Brown", "alice.brown@example.com", "555 333 4444", "321 Elm St Houston TX 77001",
-     "IP: 192.168.1.1"),
+    ("Nora Quill", "nora.quill@mailhub.org", "212-408-1177", "81 Larch St Albany NY 12203",
+     "Employed by Harbor Light Inc"),
+    ("Omar Reyes", "omar@reyes-family.net", "(646) 301-8820", "9 Quarry Ave Tucson AZ 85701",
+     "SSN: 402-11-7763"),
+    ("Pia Lindgren", "p.lindgren@nordic.io", "303.440.1290", "1500 Mill Rd Boulder CO 80302",
+     "Credit card: 4024-0071-5566-8890"),
+    ("Quinn Abbot", "quinn@abbot.co.uk", "718 229 6604", "77 Canal Dr Tampa FL 33602",
+     "IP: 10.20.30.41"),
 ]
 
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 from tests import plain
 from veilspark import constants as K
@@ -66,3 +67,16 @@ def test_context(texts):
     both = inferred(rows).orderBy("inf_ord").collect()
     assert [r.method for r in both][:1] == ["proximity_inference"]
     assert [r.inf_ord for r in both] == list(range(len(both)))
+
+
+def test_streets_without_a_name_stay_linear(texts):
+    listed = "1 " + "ast\n" * 150_000 + "9"
+    short = ["1 " + "ast\n" * 50 + tail for tail in ("9", "al bo", "a bo", "al  bo", "al bo cd\n9", "St x Rd al bo Ave ef gh i")]
+    cases = [listed, *short]
+    df = texts(cases).selectExpr("id as row_id", "t")
+    start = time.time()
+    found = {r.row_id: r.c for r in df.select("row_id", combinations(df["t"]).alias("c")).collect()}
+    assert time.time() - start < 30
+    for i, t in enumerate(cases):
+        got = [(c.start, c.end, c.text) for c in found[i] if c.pattern == "address_with_name"]
+        assert got == ([] if t is listed else plain.spans(plain.COMBINE["address_with_name"], t)), i

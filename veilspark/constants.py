@@ -9,7 +9,6 @@ output texts.  They are stated in plain Python-regex form and natural order;
 # --- fixed values: defaults -------------------------------------------------
 WINDOW = 50
 MASK = "***"
-MAX_CSV_MB = 100
 
 # --- fixed values: detection patterns (order = precedence), (regex, flags) ---
 DETECTION_PATTERNS = {
@@ -69,16 +68,14 @@ CONTEXT_METHOD = "context_inference"
 NAME_PART = r"[A-Z][a-z]+ [A-Z][a-z]+"
 SSN_TAIL = r"\d{3}[-.\s]?\d{2}[-.\s]?\d{4}"
 PHONE_TAIL = r"(\+?1[-.\s]?)?\(?([0-9]{3})\)?[-.\s]?([0-9]{3})[-.\s]?([0-9]{4})"
-ADDRESS_PART = r"\d+\s+[A-Za-z\s]+(?:St|Street|Ave|Avenue|Rd|Road|Blvd|Boulevard|Dr|Drive)"
 ORG_SUFFIX = r"(?:Corp|Corporation|Inc|LLC|Ltd|Company)"
 ZIP_PART = r"\d{5}(?:-\d{4})?"
-ORG_PART = r"[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\s+" + ORG_SUFFIX
 
 COMBINATION_PATTERNS = {
     "name_with_ssn": f"({NAME_PART}).*?({SSN_TAIL})",
     "name_with_phone": f"({NAME_PART}).*?{PHONE_TAIL}",
-    "address_with_name": f"({ADDRESS_PART}).*?({NAME_PART})",
-    "zip_with_org": f"({ZIP_PART}).*?({ORG_PART})",
+    "address_with_name": rf"(\d+\s+[A-Za-z\s]+(?:St|Street|Ave|Avenue|Rd|Road|Blvd|Boulevard|Dr|Drive)).*?({NAME_PART})",
+    "zip_with_org": rf"({ZIP_PART}).*?([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\s+{ORG_SUFFIX})",
 }
 COMBINATION_TYPES = {
     "name_with_ssn": "name_ssn_combination",

@@ -16,6 +16,7 @@ _ORG_TAIL = jvm_pattern(rf"(?<={_LETTER}{{2}})\s+{K.ORG_SUFFIX}", "is")
 _ZIP_ORG = jvm_pattern(
     rf"{K.ZIP_PART}(?:[^A-Z]++|(?!{_ORG}){_LETTER}[A-Z\s]*+)*+{_ORG}", "is", r"\d"
 )
+_SECOND_WORD = jvm_pattern(rf"(?<={_LETTER}{{2}}) {_LETTER}{{2,}}", "i")
 _ORDER = list(K.COMBINATION_PATTERNS)
 
 
@@ -31,9 +32,11 @@ def _with_tail(text: Column, name: str, tail: str) -> Column:
 
 
 def _address_with_name(text: Column) -> Column:
+    """Behind the last two words joined by a space no name can end: cut there, or
+    every street of a text without a name would search it to its end."""
     name = "address_with_name"
     regex = jvm_pattern(K.COMBINATION_PATTERNS[name], "is", r"\d")
-    return pattern_hits(text, regex, _ORDER.index(name))
+    return let(cut_after_last(text, _SECOND_WORD), lambda t: pattern_hits(t, regex, _ORDER.index(name)))
 
 
 def _zip_with_org(text: Column) -> Column:

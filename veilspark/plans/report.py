@@ -85,12 +85,17 @@ def report(
     )
 
 
+def _title(name: Column) -> Column:
+    """Every letter behind a character that is none in upper case, the others in lower case."""
+    return F.array_join(F.transform(F.split(name, r"(?<=\P{L})"), F.initcap), "")
+
+
 def text_summary(report_row: DataFrame) -> DataFrame:
     """The report as printable lines: ``ord, line``."""
     ner, prox, graph = (F.col(c) for c in ("ner_summary", "proximity_summary", "graph_summary"))
     types = F.transform(
         F.map_entries(ner["detection_types"]),
-        lambda e: F.format_string("%s: %d", F.initcap(e["key"]), e["value"]),
+        lambda e: F.format_string("%s: %d", _title(e["key"]), e["value"]),
     )
     stats, reid = graph["graph_stats"], graph["reidentification_risk"]
     lines = F.concat(
