@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from veilspark.llm.alignment import alignment_scores
 from veilspark.llm.bpe import bpe_round_trip
+from veilspark.llm.collocations import collocations
 from veilspark.llm.decontaminate import leaks
 from veilspark.llm.frames import table
 from veilspark.llm.jaccard import jaccard_components
@@ -16,6 +18,7 @@ from veilspark.llm.quality_model import quality_scores
 from veilspark.llm.quality_rules import quality_verdicts
 from veilspark.llm.repeats import remove_repeats
 from veilspark.llm.token_counts import token_counts
+from veilspark.llm.topk import top_k
 
 
 def op1_line_dedup(spark, sf_dir):
@@ -68,6 +71,21 @@ def op10_token_counts(spark, sf_dir):
     return token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment_scores(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op13_top_k(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -79,6 +97,9 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_quality_model": op9_quality_model,
     "op10_token_counts": op10_token_counts,
+    "op11_alignment": op11_alignment,
+    "op12_collocations": op12_collocations,
+    "op13_top_k": op13_top_k,
 }
 
 ORACLE: dict[str, str] = {
@@ -110,5 +131,43 @@ edge as (select a, b from link union all select b, a from link),
 reach as (select doc_id as a, doc_id as b from d union select r.a, e.b from reach r join edge e on r.b = e.a)
 select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id
 from d left join n using (doc_id) join (select a as doc_id, min(b) as component_id from reach group by a) c using (doc_id)
+""",
+    "op12_collocations": r"""
+with piece as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as s
+  from documents),
+w as (select lang, regexp_extract_all(s, '[^\x20\x09]+') as w from piece),
+gram as (select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) as p
+         from w, range(1, 6) t(m)),
+f as (select lang, m, p, count(*) as f from gram group by all),
+n as (select lang, sum(f) as n from f where m = 1 group by lang),
+c as (select lang, m, p, f as a, string_split(p, ' ') as x from f where m > 1 and f >= 100),
+inside as (
+  select lang, array_to_string(x[1:m - 1], ' ') as p, a from c where m > 2
+  union all select lang, array_to_string(x[2:m], ' ') as p, a from c where m > 2),
+longer as (select lang, p, max(a) as most from inside group by all),
+kept as (select c.* from c left join longer using (lang, p) where most is null or most < a),
+part as (select lang, p, a, k, array_to_string(x[1:k], ' ') as lp, array_to_string(x[k + 1:m], ' ') as rp
+         from (select *, unnest(range(1, m)) as k from kept)),
+score as (select part.*, fl.f as l, fr.f as r, n.n,
+          (1000::hugeint * a * n.n) // (fl.f::hugeint * fr.f) as s
+          from part join f fl on fl.lang = part.lang and fl.p = lp join f fr on fr.lang = part.lang and fr.p = rp
+          join n on n.lang = part.lang),
+best as (select * from score qualify row_number() over (partition by lang, p order by s, k) = 1)
+select lang, row_number() over (partition by lang order by s desc, a desc, p) as rank, p as phrase, a, l, r,
+       cast(n as bigint) as n, cast(s as bigint) as score
+from best qualify rank <= 2000
+""",
+    "op13_top_k": r"""
+with v as (select row_number() over () as rid, vec_id, embedding as e from embeddings
+           where vec_id is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+i as (select rid, vec_id, list_transform(e, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as e from v),
+s as (select q.rid, q.vec_id as query_id, c.vec_id, c.rid as other,
+      cast(coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda z: coalesce(z[1] * z[2], 0))), 0) as bigint) as score
+      from i q join i c on q.rid <> c.rid where q.vec_id % 100 = 0)
+select query_id, cast(row_number() over (partition by rid order by score desc, vec_id, other) as integer) as rank, vec_id, score
+from s qualify rank <= 10
 """,
 }
