@@ -94,13 +94,16 @@ def test_empty(spark):
 
 
 def test_hash_clash_draws_other_hashes(spark, monkeypatch):
-    real = module._hashed
-    monkeypatch.setattr(module, "_hashed", lambda w, seed: np.full(len(w), 7, np.uint64) if seed == 1 else real(w, seed))
     words = module._word_counts(spark.createDataFrame(ROWS, SCHEMA).coalesce(1), 2)
     names = module._named_languages(spark.createDataFrame(ROWS, SCHEMA), 2)
     assert not module._clashes(words, names)
-    same = words.selectExpr("lang_h", "word", "1L as h", "n")
-    assert module._clashes(same, names)
+    assert module._clashes(words.selectExpr("lang_h", "word", "1L as h", "n"), names)
+    tries = iter([True, False])
+    monkeypatch.setattr(module, "_clashes", lambda words, names: next(tries))
+    assert got(spark.createDataFrame(ROWS, SCHEMA), least=8) == brute(ROWS, 8)
+    monkeypatch.setattr(module, "_clashes", lambda words, names: True)
+    with pytest.raises(module.HashClash):
+        collocations(spark.createDataFrame(ROWS[:3], SCHEMA))
 
 
 def test_hashes_of_words():

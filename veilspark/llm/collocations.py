@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from veilspark.llm.words import buffers, lowered, mixed, row_blocks
 from veilspark.sources.stage import staged
 
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 MOST_BITS = 1 << 27
 BUCKET = 300_000
 HOT = 250_000
