@@ -24,7 +24,7 @@ from veilspark.llm.segments import segments
 from veilspark.llm.sparse import csr, product, summed, transposed
 from veilspark.sources.stage import staged
 
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 6_000_000
 RUN_CHARS = 65_536
 _SPACE = "▁"
 _loaded: dict[str, object] = {}
