@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veilspark.sources.tables import spread
 
@@ -24,9 +24,13 @@ select c_custkey as row_id,
 
 PEOPLE_TEXT = ["name", "email", "phone", "address", "ssn", "card", "notes"]
 
-# Dictionary of the gazetteer queries: fixed terms plus the opening word pair of
-# every benchmark item.  Also runs in both engines.
-FIXED_TERMS = [("Apache License", "ORG"), ("General Public", "ORG"), ("Orre", "GPE")]
+# Dictionary of the gazetteer queries: fixed terms, and every clause of every benchmark
+# item that has two words or more, whole.  The clauses are cut alike in both engines.
+FIXED_TERMS = [
+    ("Apache License", "ORG"), ("General Public", "ORG"), ("Orre", "GPE"), ("Acme Data Corp", "EMPLOYER"),
+    ("Main St", "ADDRESS"), ("Oak Ave Springfield", "ADDRESS"), ("Springfield", "GPE"), ("diagnosis pending", "ORG"),
+]
+CLAUSE_BREAK = r"[.,;:!?\n]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,11 +48,8 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    opening = table(spark, sf_dir, "benchmark").selectExpr(
-        r"regexp_extract_all(text, '[\\p{L}\\p{N}_]+', 0) as w"
-    )
-    pairs = opening.filter("size(w) >= 2").selectExpr(
-        "concat(w[0], ' ', w[1]) as term", "'LOC' as label"
-    )
-    fixed = spark.createDataFrame(FIXED_TERMS, "term string, label string")
-    return pairs.unionByName(fixed)
+    clauses = table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", CLAUSE_BREAK)).alias("term")).distinct()
+    words = F.size(F.regexp_extract_all("term", F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("LOC", "PERSON", "ORG")]), words % 3 + 1)
+    clauses = clauses.filter(words >= 2).select("term", kind.alias("label"))
+    return clauses.unionByName(spark.createDataFrame(FIXED_TERMS, "term string, label string"))

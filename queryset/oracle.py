@@ -7,7 +7,7 @@ instead of the closed forms, so that an agreement means something.
 
 from __future__ import annotations
 
-from queryset.inputs import FIXED_TERMS, PEOPLE_SELECT, PEOPLE_TEXT
+from queryset.inputs import CLAUSE_BREAK, FIXED_TERMS, PEOPLE_SELECT, PEOPLE_TEXT
 from veilspark import constants as K
 
 # The engine has no lookahead: the same numbers spelled out.
@@ -344,28 +344,42 @@ _MERGED = """ov as (select *, max("end") over (partition by row_id, col_idx orde
 
 _TOKEN = r"'[\p{L}\p{N}_]+'"
 _FIXED = ", ".join(f"({_q(t)}, {_q(label)})" for t, label in FIXED_TERMS)
+_LABEL_TYPE = "case label " + " ".join(
+    f"when '{x}' then '{t}'" for x, t in (K.LABEL_TYPES | K.OWN_LABELS).items()
+) + " end"
+# Every run of words up to the longest term, where no gap passes three characters; hits
+# inside a longer hit go.
 GAZ = rf"""dict as (select array_to_string(w, ' ') as norm, len(w) as n, min(label) as label from (
-  select regexp_extract_all(term, {_TOKEN}) as w, label from (
-   select w[1] || ' ' || w[2] as term, 'LOC' as label from (select regexp_extract_all(text, {_TOKEN}) as w from benchmark) where len(w) >= 2
-   union all select * from (values {_FIXED})))
+  select w, case len(w) % 3 when 0 then 'LOC' when 1 then 'PERSON' else 'ORG' end as label from (
+   select regexp_extract_all(unnest(regexp_split_to_array(text, '{CLAUSE_BREAK}')), {_TOKEN}) as w from benchmark) where len(w) >= 2
+  union all select regexp_extract_all(term, {_TOKEN}), label from (values {_FIXED}) x(term, label))
   group by all),
- tok as (select row_id, i, hit, cast(s as bigint) as "start", cast(s + length(hit) as bigint) as "end" from (
-  select *, sum(length(gap) + length(hit)) over (partition by row_id order by i) - length(hit) as s from (
-   select row_id, unnest(hits) as hit, unnest(gaps[1:len(hits)]) as gap, unnest(range(1, len(hits) + 1)) as i
-   from (select row_id, regexp_extract_all(text, {_TOKEN}) as hits, regexp_split_to_array(text, {_TOKEN}) as gaps from cells)))),
- gram as (select row_id, "start", "end", hit as norm from tok
-  union all select a.row_id, a."start", b."end", a.hit || ' ' || b.hit from tok a join tok b on a.row_id = b.row_id and b.i = a.i + 1),
- gaz as (select g.row_id, g."start", g."end", substring(c.text, g."start" + 1, g."end" - g."start") as text, label,
-  case label when 'PERSON' then 'name' when 'ORG' then 'organization' else 'location' end as type, 0.9::double as confidence
-  from gram g join dict d using (norm) join cells c on c.row_id = g.row_id)"""
-GAZ_BOTH = """both_ as (select * exclude (r) from (
-  select row_id, 0 as col_idx, "start", "end", text, label, type, confidence, -1 as r from gaz
-  union all select row_id, col_idx, "start", "end", text, label, type, confidence, ent_ord from det0)
-  qualify row_number() over (partition by row_id, "start", "end" order by r) = 1),
- det as (select b.*, cast(row_number() over (partition by b.row_id order by b."start", coalesce(g.r, d.ent_ord), b."end") - 1 as bigint) as ent_ord
-  from both_ b left join (select row_id, "start", "end", -1 as r from gaz) g using (row_id, "start", "end")
-  left join det0 d using (row_id, "start", "end"))"""
-_DOCS_BOTH = f"with {DOC_CELLS}, {_det().replace('det as (', 'det0 as (')}, {DOC_TEXT}, {GAZ}, {GAZ_BOTH}"
+ tok as (select row_id, col_idx, i, hit, gap, cast(s as bigint) as "start", cast(s + length(hit) as bigint) as "end" from (
+  select *, sum(length(gap) + length(hit)) over (partition by row_id, col_idx order by i) - length(hit) as s from (
+   select row_id, col_idx, unnest(hits) as hit, unnest(gaps[1:len(hits)]) as gap, unnest(range(1, len(hits) + 1)) as i
+   from (select row_id, col_idx, regexp_extract_all(text, {_TOKEN}) as hits, regexp_split_to_array(text, {_TOKEN}) as gaps from cells)))),
+ head as (select distinct string_split(norm, ' ')[1] as hit, n from dict),
+ gram as (select t.row_id, t.col_idx, t."start", max(b."end") as "end", string_agg(b.hit, ' ' order by b.i) as norm
+  from tok t join head using (hit) join tok b on b.row_id = t.row_id and b.col_idx = t.col_idx and b.i >= t.i and b.i < t.i + n
+  group by t.row_id, t.col_idx, t.i, t."start", n
+  having count(*) = n and count_if(b.i > t.i and length(b.gap) > 3) = 0),
+ met as (select g.*, label from gram g join dict d using (norm)),
+ gaz as (select m.row_id, m.col_idx, c."column", m."start", m."end",
+   substring(c.text, cast(m."start" + 1 as bigint), cast(m."end" - m."start" as bigint)) as text, label,
+   {_LABEL_TYPE} as type, 0.9::double as confidence, 'gazetteer' as method
+  from met m join cells c on c.row_id = m.row_id and c.col_idx = m.col_idx
+  where not exists (select 1 from met b where b.row_id = m.row_id and b.col_idx = m.col_idx and b."start" <= m."start"
+    and b."end" >= m."end" and (b."start" < m."start" or b."end" > m."end")))"""
+GAZ_BOTH = """one as (select * from (
+   select row_id, col_idx, "column", "start", "end", text, label, type, confidence, method, 0 as rank from gaz
+   union all select row_id, col_idx, "column", "start", "end", text, label, type, confidence, method, rank from det0)
+  qualify row_number() over (partition by row_id, col_idx, "start", "end" order by rank) = 1),
+ det as (select *, cast(row_number() over (partition by row_id order by col_idx, "start", rank, "end") - 1 as bigint) as ent_ord
+  from one)"""
+_BOTH = f"{_det().replace('det as (', 'det0 as (')}, {GAZ}, {GAZ_BOTH}"
+_DOCS_BOTH = f"with {DOC_CELLS}, {_BOTH}, {DOC_TEXT}"
+_FOLK_BOTH = f"with {PEOPLE_CELLS}, {_BOTH}, {PEOPLE_TEXT_CTE}"
+_GAZ_OUT = f'with {DOC_CELLS}, {GAZ} select row_id, "start", "end", text, label, type, confidence from gaz'
 
 # --- report -----------------------------------------------------------------------------------
 
@@ -433,9 +447,32 @@ ORACLE: dict[str, str] = {
     "detect_cells": f"{FOLK} {_DET_OUT}",
     "detect_specific": f"with {PEOPLE_CELLS}, {_det(K.SPECIFIC_ORDER)} {_DET_OUT}",
     "text_cells": f'with {PEOPLE_CELLS} select row_id, col_idx::bigint as col_idx, "column", text from cells',
-    "gazetteer_entities": f'with {DOC_CELLS}, {GAZ} select row_id, "start", "end", text, label, type, confidence from gaz',
+    "gazetteer_entities": _GAZ_OUT,
+    "gazetteer_large": _GAZ_OUT,
     "detect_with_gazetteer": f'{_DOCS_BOTH} select row_id, ent_ord, "start", "end", text, label, type, confidence from det',
     "gazetteer_risk": f"{_risk(_DOCS_BOTH)} select * from rr",
+    "gazetteer_pair_risk": f"{_FOLK_BOTH}, {REL}, {RISKED} {_RISK_OUT}",
+    "mask_with_gazetteer": f"""{_FOLK_BOTH}, {_MASKED_CELLS}, w as (select row_id, {_WIDE} from m3 group by row_id)
+ select w.*, p.balance from w join people p using (row_id)""",
+    "mask_documents_with_gazetteer": f"{_DOCS_BOTH}, {_MASKED_CELLS} select row_id, t as text from m3",
+    "graph_with_gazetteer": f"""{_graph(_FOLK_BOTH)} select node_id, row_id, "column", text, type, "start", "end", confidence, method,
+ risk_level, self_loop, {_w('type')} as weight from nodes""",
+    "components_ranked": f"""{_graph(DOCS)}, scored as (select row_id as component_id, count(*)::bigint as size,
+  round(avg({_w('type')}), 9) as risk_score from nodes group by row_id)
+ select row_number() over (order by risk_score desc, component_id) as rank, component_id, size, round(risk_score, 6) as risk_score from scored""",
+    "clusters_ranked": f"""{_graph(DOCS)}, scored as (select row_id, count(*)::bigint as size,
+  round(count(distinct type) * 0.2::double + case when bool_or(type in ('ssn', 'credit_card', 'name')) then 0.5 else 0 end, 9) as risk_score
+  from nodes group by row_id having count(*) >= 2)
+ select row_number() over (order by risk_score desc, row_id) as rank, row_id, size, round(risk_score, 6) as risk_score from scored""",
+    "job_masked_subset": f"""{FOLK}, {_SPANS_OF},
+ m1 as (select c.row_id, c.col_idx, case when "column" in ('notes', 'ssn') then {_fold('c.text')} else c.text end as t
+  from cells c left join spans using (row_id, col_idx)),
+ m2 as (select row_id, col_idx, {_mask_patterns('t')} as t from m1),
+ m3 as (select row_id, col_idx, {_mask_names('t')} as t from m2),
+ w as (select row_id, {_WIDE} from m3 group by row_id)
+ select w.*, p.balance from w join people p using (row_id)""",
+    "job_components": f"""{_graph(FOLK)}{_COMPONENTS.format(w=_w('n.type'))}""",
+    "job_clusters": f"{_graph(FOLK)}{_CLUSTERS}",
     "detection_summary": f"""{FOLK} select count(*)::bigint as total_detections, count(distinct row_id)::bigint as n_rows_affected,
  {_TYPES} as detection_types, string_agg(distinct "column", ',' order by "column") as columns_affected from det""",
     "detection_by_type": f"{FOLK} select type, count(*)::bigint as n from det group by type",

@@ -13,8 +13,9 @@ from veilspark.operators import graph as G
 from veilspark.operators import inference, mask, proximity, risk, summary
 from veilspark.operators.cells import cells, row_text
 from veilspark.operators.detect import detect, entity_rows, pattern_spans
-from veilspark.operators.gazetteer import gazetteer_entities, rows_of, with_gazetteer
+from veilspark.operators.gazetteer import gazetteer_entities, measured, rows_of, with_gazetteer
 from veilspark.plans.report import graph_summary, recommendations, report, text_summary
+from veilspark.plans.run import run
 from veilspark.sources.exports import export_graph, read_report, write_report
 from veilspark.sources.stage import stage_path, staged
 from veilspark.sources.tables import load_csv, write_masked
@@ -111,21 +112,45 @@ def gazetteer(spark, sf):
     )
 
 
-def _both(spark, sf):
-    docs = _docs(spark, sf)
-    hits = gazetteer_entities(docs, "row_id", inputs.dictionary(spark, sf))
-    return docs, with_gazetteer(detect(docs, "row_id"), hits)
+def gazetteer_large(spark, sf):
+    """The way of dictionaries that are too large to be sent to every task."""
+    found = gazetteer_entities(_docs(spark, sf), "row_id", inputs.dictionary(spark, sf), broadcast_terms=0)
+    return found.select(
+        "row_id", *_long("start", "end"), "text", "label", "type", "confidence"
+    )
 
 
 def detect_with_gazetteer(spark, sf):
-    return _both(spark, sf)[1].select(
+    found = detect(_docs(spark, sf), "row_id", dictionary=inputs.dictionary(spark, sf))
+    return found.select(
         "row_id", *_long("ent_ord", "start", "end"), "text", "label", "type", "confidence"
     )
 
 
 def gazetteer_risk(spark, sf):
-    docs, both = _both(spark, sf)
-    return _risk(risk.row_risk(rows_of(docs, "row_id", both)))
+    """From two detection frames made apart and brought together by row."""
+    docs = _docs(spark, sf)
+    hits = gazetteer_entities(docs, "row_id", inputs.dictionary(spark, sf))
+    return _risk(risk.row_risk(rows_of(docs, "row_id", with_gazetteer(detect(docs, "row_id"), hits))))
+
+
+def gazetteer_pair_risk(spark, sf):
+    rows = entity_rows(_people(spark, sf), "row_id", dictionary=inputs.dictionary(spark, sf))
+    return _assessed(proximity.assess(proximity.relations(rows)))
+
+
+def mask_with_gazetteer(spark, sf):
+    return mask.mask(_people(spark, sf), "row_id", dictionary=inputs.dictionary(spark, sf))
+
+
+def mask_documents_with_gazetteer(spark, sf):
+    terms = measured(inputs.dictionary(spark, sf), broadcast_terms=0)
+    return mask.mask(_docs(spark, sf), "row_id", dictionary=terms)
+
+
+def graph_with_gazetteer(spark, sf):
+    rows = entity_rows(_people(spark, sf), "row_id", dictionary=inputs.dictionary(spark, sf))
+    return _nodes(G.graph_rows(rows))
 
 
 # --- summaries ------------------------------------------------------------------
@@ -263,13 +288,17 @@ def _proximity_summary(rows) -> Query:
 # --- graph ----------------------------------------------------------------------------
 
 
-def graph_nodes(spark, sf):
-    return G.graph_nodes(_people_graph(spark, sf)).select(
+def _nodes(graph: DataFrame) -> DataFrame:
+    return G.graph_nodes(graph).select(
         "node_id", "row_id", "column", "text", "type", *_long("start", "end"),
         "confidence", "method", "risk_level", "self_loop", "weight",
     )
 
 
+def graph_nodes(spark, sf):
+    return _nodes(_people_graph(spark, sf))
+
+
 def graph_edges(spark, sf):
     return G.graph_edges(_people_graph(spark, sf)).select(
         "row_id", "src", "dst", _r6("weight"), "relation_type", *_long("distance")
@@ -292,20 +321,36 @@ def _graph_stats(graph) -> Query:
     return query
 
 
-def components(spark, sf):
-    return G.components(_doc_graph(spark, sf)).select(
+def _components(found: DataFrame) -> DataFrame:
+    return found.select(
         "component_id", *_long("size"), _map_text(F.col("entity_types")).alias("entity_types"),
         _r6("risk_score"), F.array_join(F.array_sort("nodes"), "|").alias("nodes"),
     )
 
 
-def risk_clusters(spark, sf):
-    return G.risk_clusters(_doc_graph(spark, sf)).select(
+def _clusters(found: DataFrame) -> DataFrame:
+    return found.select(
         "row_id", *_long("size"), F.array_join("entity_types", ",").alias("entity_types"),
         _r6("risk_score"), "cluster_type",
     )
 
 
+def components(spark, sf):
+    return _components(G.components(_doc_graph(spark, sf)))
+
+
+def risk_clusters(spark, sf):
+    return _clusters(G.risk_clusters(_doc_graph(spark, sf)))
+
+
+def components_ranked(spark, sf):
+    return G.ranked_components(_doc_graph(spark, sf)).select("rank", "component_id", *_long("size"), _r6("risk_score"))
+
+
+def clusters_ranked(spark, sf):
+    return G.ranked_clusters(_doc_graph(spark, sf)).select("rank", "row_id", *_long("size"), _r6("risk_score"))
+
+
 def _top(measure: str) -> Query:
     def query(spark, sf):
         return G.top_central(_doc_graph(spark, sf), measure).select(
@@ -471,6 +516,28 @@ def graph_export(spark, sf):
     )
 
 
+def _job(spark, sf, **options) -> tuple:
+    """The whole job over the table of people; what it wrote is read back."""
+    out = stage_path(spark)
+    done = run(spark, _people(spark, sf), out, key="row_id", masked_format="parquet", with_graph_export=False, **options)
+    if not done.success:
+        raise RuntimeError(done.error)
+    return done
+
+
+def job_masked_subset(spark, sf):
+    """Two columns searched; the others leave masked by patterns and names."""
+    return spark.read.parquet(_job(spark, sf, columns=["notes", "ssn"]).masked_path)
+
+
+def job_components(spark, sf):
+    return _components(spark.read.parquet(f"{_job(spark, sf).details_path}/components"))
+
+
+def job_clusters(spark, sf):
+    return _clusters(spark.read.parquet(f"{_job(spark, sf).details_path}/risk_clusters"))
+
+
 QUERIES: dict[str, Query] = {
     **{f"detect_{name}": _detect_pattern(name) for name in K.DETECTION_PATTERNS},
     "detect_all": detect_all,
@@ -479,7 +546,17 @@ QUERIES: dict[str, Query] = {
     "text_cells": text_cells,
     "gazetteer_entities": gazetteer,
     "detect_with_gazetteer": detect_with_gazetteer,
+    "gazetteer_large": gazetteer_large,
     "gazetteer_risk": gazetteer_risk,
+    "gazetteer_pair_risk": gazetteer_pair_risk,
+    "mask_with_gazetteer": mask_with_gazetteer,
+    "mask_documents_with_gazetteer": mask_documents_with_gazetteer,
+    "graph_with_gazetteer": graph_with_gazetteer,
+    "components_ranked": components_ranked,
+    "clusters_ranked": clusters_ranked,
+    "job_masked_subset": job_masked_subset,
+    "job_components": job_components,
+    "job_clusters": job_clusters,
     "detection_summary": detection_summary,
     "detection_by_type": detection_by_type,
     "affected_columns": affected_columns,

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -72,40 +74,35 @@ def test_long_cell_offsets(texts):
     assert [(r.start, r.end) for r in got] == [(e[0], e[2]) for e in want] and len(got) == 1000
 
 
-SAMPLE = [
-    ("Nora Quill", "nora.quill@mailhub.org", "212-408-1177", "81 Larch St Albany NY 12203",
-     "Employed by Harbor Light Inc"),
-    ("Omar Reyes", "omar@reyes-family.net", "(646) 301-8820", "9 Quarry Ave Tucson AZ 85701",
-     "SSN: 402-11-7763"),
-    ("Pia Lindgren", "p.lindgren@nordic.io", "303.440.1290", "1500 Mill Rd Boulder CO 80302",
-     "Credit card: 4024-0071-5566-8890"),
-    ("Quinn Abbot", "quinn@abbot.co.uk", "718 229 6604", "77 Canal Dr Tampa FL 33602",
-     "IP: 10.20.30.41"),
+# Letters to a garden club: findings of several kinds in one cell, one cell in two columns,
+# a cell of white space, a null, and a column without any finding.
+LETTERS = [
+    ("tea at 4, ask Hanna Weiss (hanna@rose.example, 0171 223 4455)", "Rosa Club", None),
+    (" ", "Hanna Weiss", "plot 9"),
+    ("seeds paid by 4929123412341234 from 172.16.4.4 on 11-30-1975", "Hanna Weiss", "plot 12"),
+    ("no reply yet", None, "plot 3"),
+    ("post to 10115 or 10115-0001, c/o Otto Klein and Otto Klein", "o.klein@rose.example", ""),
 ]
+FIELDS = ["letter", "sender", "plot"]
 
 
 @pytest.fixture
 def sample(spark):
-    rows = [(i, *r) for i, r in enumerate(SAMPLE)]
-    return spark.createDataFrame(
-        rows, "row_id long, name string, email string, phone string, address string, notes string"
-    )
+    rows = [(i, *r) for i, r in enumerate(LETTERS)]
+    return spark.createDataFrame(rows, "row_id long, letter string, sender string, plot string")
 
 
 def test_wide_table(sample):
-    names = ["name", "email", "phone", "address", "notes"]
     got = by_row(detect(sample, "row_id"), "ent_ord", "column", "start", "end", "type")
-    for i, row in enumerate(SAMPLE):
-        want = [
-            (c, e[0], e[2], e[3]) for c, t in zip(names, row) for e in plain.entities(t)
-        ]
-        assert [x[1:] for x in got[i]] == want
-        assert [x[0] for x in got[i]] == list(range(len(want)))
+    for i, row in enumerate(LETTERS):
+        want = [(c, e[0], e[2], e[3]) for c, t in zip(FIELDS, row, strict=True) for e in plain.entities(t or "")]
+        assert [x[1:] for x in got.get(i, [])] == want
+        assert [x[0] for x in got.get(i, [])] == list(range(len(want)))
 
 
 def test_chosen_columns(sample):
-    only = detect(sample, "row_id", columns=["email", "notes"])
-    assert {r.column for r in only.collect()} == {"email", "notes"}
+    only = detect(sample, "row_id", columns=["plot", "sender"])
+    assert {r.column for r in only.collect()} == {"sender"}
     with pytest.raises(ValueError):
         detect(sample, "row_id", columns=["nope"])
 
@@ -119,12 +116,11 @@ def test_digit_only_numbers_are_scanned_on_request(spark):
 def test_summary_counts(sample):
     rows = entity_rows(sample, "row_id", with_text=False)
     s = summary.detection_summary(rows).first()
-    want = [e for r in SAMPLE for t in r for e in plain.entities(t)]
-    assert s.total_detections == len(want) and s.n_rows_affected == 4
-    assert s.detection_types == {
-        t: sum(e[3] == t for e in want) for t in {e[3] for e in want}
-    }
-    assert s.columns_affected == ["address", "email", "name", "notes", "phone"]
+    want = [e for r in LETTERS for t in r for e in plain.entities(t or "")]
+    rows_hit = sum(any(plain.entities(t or "") for t in r) for r in LETTERS)
+    assert s.total_detections == len(want) and s.n_rows_affected == rows_hit
+    assert s.detection_types == dict(Counter(e[3] for e in want))
+    assert s.columns_affected == ["letter", "sender"]
 
 
 def test_summary_of_nothing(texts):

@@ -5,25 +5,43 @@ import pytest
 
 from tests import plain
 from veilspark.plans.report import failed_graph_summary, text_summary
+from veilspark.operators.gazetteer import measured
 from veilspark.plans import run as R
 from veilspark.sources.exports import read_report
+from veilspark.sources.tables import load_csv
 
-DEMO = """name,email,phone,address,ssn,credit_card,notes
-Nora Quill,nora.quill@mailhub.org,212-408-1177,81 Larch St Albany NY 12203,219-09-4410,4716221090345521,Employed by Harbor Light Inc
-Omar Reyes,omar@reyes-family.net,(646) 301-8820,9 Quarry Ave Tucson AZ 85701,402-11-7763,5210-3344-8876-1029,Medical record: Patient ID 88213
-Pia Lindgren,p.lindgren@nordic.io,303.440.1290,1500 Mill Rd Boulder CO 80302,530-27-8841,4024-0071-5566-8890,IP address: 10.20.30.41
-Quinn Abbot,quinn@abbot.co.uk,718 229 6604,77 Canal Dr Tampa FL 33602,611-48-2095,6011-5523-7788-1144,"Salary: $48,900"
-Rosa Velez,rosa.velez@plaza.com,415-220-9981,3 Sunset Blvd Reno NV 89501,287-65-1132,3530-1113-3330-0000,Employee ID: K7731
-Sami Koski,sami.koski@lumi.fi,617-555-0148,640 Orchard Ln Salem MA 01970,158-33-6027,2720-9912-0045-3310,Patient: Diagnosis pending
-Tess Moreau,tess@moreau.info,504-310-7725,22 Bayou Rd Houma LA 70360,439-80-5516,4485-7710-2233-9987,"Account balance: $3,250"
-Uri Castle,uri.castle@keep.net,901-664-2073,418 Beale St Memphis TN 38103,408-52-9179,5425-2334-3010-9903,Insurance policy: HX90412
-"""
+# A harbour log, made for what a job must meet in one file: free text with several findings
+# in a cell, a quoted comma, doubled quotes, a quoted line break, gaps, a short row, a
+# missing-value token, a column of bare numbers (not text) and one without any finding.
+LOG = [
+    ["berth", "watch", "entry", "signal", "tons"],
+    ["North Quay 4", "", "Pilot Ivo Brandt asked for 07/04/1988 papers, mail ivo@skiff.example", "10.8.0.77", "410"],
+    ["South Quay 1", "night", "crate 4929123412341234 held\nuntil noon", "", "22"],
+    ["Basin", "NA", 'the "Gull" left; ring +1 303 555 0117 or 303.555.0118', "fog, 2 blasts", "9"],
+    ["Basin", "day", "Lena Ortiz and Kofi Mensah swapped, ref 219-09-9999", "ok", "1300"],
+    ["Mole", "day", "nothing to report"],
+    ["Mole", "night", "send bills to 30117-2210, Lena Ortiz", "lena_o@gull.example", "75"],
+]
+TEXT = ["berth", "watch", "entry", "signal"]
+
+
+def csv_text(rows):
+    def cell(c):
+        return '"' + c.replace('"', '""') + '"' if any(x in c for x in ',"\n') else c
+
+    return "".join(",".join(map(cell, r)) + "\n" for r in rows)
+
+
+def cells_of_log():
+    """Text cells by row, missing ones as None."""
+    known = [[c if c not in ("", "NA") else None for c in r] + [None] * (5 - len(r)) for r in LOG[1:]]
+    return [r[:4] for r in known]
 
 
 @pytest.fixture(scope="module")
 def demo(spark, tmp_path_factory):
     home = tmp_path_factory.mktemp("demo")
-    (home / "demo.csv").write_text(DEMO)
+    (home / "demo.csv").write_text(csv_text(LOG))
     stages = f"{spark.conf.get('spark.checkpoint.dir')}/_scan-*"
     before = set(glob.glob(stages))
     result = R.run(spark, str(home / "demo.csv"), str(home / "out"))
@@ -33,21 +51,27 @@ def demo(spark, tmp_path_factory):
 def test_demo_outputs(spark, demo):
     result, home, left_behind = demo
     assert result.success and result.error is None
-    assert result.messages[0] == "Validated input with 8 rows and 7 columns"
+    assert result.messages[0] == "Validated input with 6 rows and 5 columns"
     report = json.loads(open(glob.glob(f"{result.report_path}/*.json")[0]).read())
-    lines = [line.split(",", 6) for line in DEMO.splitlines()[1:]]
-    want = sum(len(plain.entities(c.strip('"'))) for line in lines for c in line)
+    cells = cells_of_log()
+    found_in = [sum(len(plain.entities(c)) for c in r if c) for r in cells]
+    want = sum(found_in)
     assert report["ner_summary"]["total_detections"] == want
-    assert report["ner_summary"]["n_rows_affected"] == 8
-    assert report["proximity_summary"]["high_risk_rows"] == 8
+    assert report["ner_summary"]["n_rows_affected"] == sum(n > 0 for n in found_in) == 5
+    assert report["proximity_summary"]["total_analyses"] == 5
     assert report["metadata"]["proximity_window"] == 50
     assert f"Found {want} PII entities." in report["recommendations"][0]
     found = spark.read.parquet(f"{result.details_path}/detections")
     assert found.count() == want
-    masked = spark.read.option("header", True).csv(result.masked_path)
-    assert masked.columns == DEMO.splitlines()[0].split(",")
-    got = sorted(tuple(r) for r in masked.collect())
-    assert got == sorted(tuple(plain.mask_all(c.strip('"')) for c in line) for line in lines)
+    masked, _, _ = load_csv(spark, result.masked_path, key=None)
+    got = sorted((tuple(r[c] for c in TEXT) for r in masked.collect()), key=str)
+    assert got == sorted((tuple(c and plain.mask_all(c) for c in r) for r in cells), key=str)
+    assert sorted(r.tons or "" for r in masked.collect()) == sorted(r[4] if len(r) > 4 else "" for r in LOG[1:])
+    for table, key in (("components", "component_id"), ("risk_clusters", "row_id")):
+        rows = spark.read.parquet(f"{result.details_path}/{table}").orderBy("rank").collect()
+        assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1)) and rows
+        assert [(-round(r.risk_score, 9), r[key]) for r in rows] == sorted((-round(r.risk_score, 9), r[key]) for r in rows)
+    assert spark.read.parquet(f"{result.details_path}/components").count() == report["graph_summary"]["n_components"]
     nodes = spark.read.json(f"{result.graph_path}/nodes")
     edges = spark.read.json(f"{result.graph_path}/edges")
     stats = report["graph_summary"]["graph_stats"]
@@ -69,7 +93,7 @@ def test_report_text(spark, demo):
     ).orderBy("ord").collect()]
     assert lines[0].startswith("Total PII Entities Detected: ")
     assert any(x.startswith("Graph Density: 0.") for x in lines)
-    assert any(x.startswith("Credit_Card: ") for x in lines)
+    assert any(x.startswith("Credit_Card: ") for x in lines) and any(x.startswith("Ip_Address: ") for x in lines)
     assert lines[-1].endswith("Regular PII audits should be conducted to maintain compliance.")
 
 
@@ -106,3 +130,53 @@ def test_graph_failure_does_not_stop_the_run(spark, tmp_path, monkeypatch):
     assert report["graph_summary"]["error"] == "boom"
     assert report["graph_summary"]["graph_stats"]["nodes"] == 0
     assert failed_graph_summary is R.failed_graph_summary
+    assert done.graph_path is None  # nothing whole was written there
+
+
+def test_columns_that_were_not_chosen_are_masked_too(spark, tmp_path):
+    """Only the chosen column is searched; the other leaves without personal data all the same."""
+    df = spark.createDataFrame([(1, "x", "mail bob@test.net Jane Smith", 5)], "id long, a string, b string, n int")
+    done = R.run(spark, df, str(tmp_path / "o"), key="id", columns=["a"], masked_format="parquet")
+    assert done.success, done.error
+    row = spark.read.parquet(done.masked_path).first()
+    assert (row.a, row.b, row.n) == ("x", "mail *** ***", 5)
+    assert spark.read.parquet(f"{done.details_path}/detections").count() == 0
+    (tmp_path / "t.csv").write_text("id,a,b,n\n1,x,mail bob@test.net Jane Smith,85001\n2,y,z,85002\n")
+    done = R.run(spark, str(tmp_path / "t.csv"), str(tmp_path / "c"), key="id", columns=["a"])
+    assert done.success, done.error
+    back, _, _ = load_csv(spark, done.masked_path, key="id")
+    assert sorted((r.a, r.b, r.n) for r in back.collect()) == [("x", "mail *** ***", "85001"), ("y", "z", "85002")]
+
+
+def test_columns_of_any_name(spark, tmp_path):
+    names = ["entities", "row_text", "texts", "passed", "masked", "_row_text", "row_id", "nodes"]
+    df = spark.createDataFrame([(1, *["Jane Smith"] * len(names))], "id long, " + ", ".join(f"{n} string" for n in names))
+    done = R.run(spark, df, str(tmp_path / "o"), key="id", masked_format="parquet")
+    assert done.success, done.error
+    row = spark.read.parquet(done.masked_path).first()
+    assert row.__fields__ == ["id", *names] and set(row[1:]) == {"***"}
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_dictionary_in_the_whole_job(spark, tmp_path, large):
+    terms = spark.createDataFrame(
+        [("Gull", "ORG"), ("Lena Ortiz", "PERSON"), ("North Quay", "ADDRESS"), ("left ring", "GPE")], "term string, label string"
+    )
+    if large:
+        terms = measured(terms, broadcast_terms=0)
+    (tmp_path / "log.csv").write_text(csv_text(LOG))
+    done = R.run(spark, str(tmp_path / "log.csv"), str(tmp_path / "o"), dictionary=terms)
+    assert done.success, done.error
+    found = spark.read.parquet(f"{done.details_path}/detections").filter("method = 'gazetteer'").collect()
+    assert sorted((r.column, r.text, r.type, r.confidence) for r in found) == [
+        ("berth", "North Quay", "address", 0.9), ("entry", "Gull", "organization", 0.9),
+        ("entry", "Lena Ortiz", "name", 0.9), ("entry", "Lena Ortiz", "name", 0.9), ("entry", "left; ring", "location", 0.9),
+    ]
+    masked, _, _ = load_csv(spark, done.masked_path)
+    entries = " ".join(r.entry for r in masked.collect())
+    assert "Gull" not in entries and "Lena" not in entries and "left" not in entries
+    assert sorted(r.berth for r in masked.collect()) == ["*** 1", "*** 4", "Basin", "Basin", "Mole", "Mole"]
+    high = spark.read.parquet(f"{done.details_path}/assessments").filter("type1 = 'address' or type2 = 'address'")
+    assert {r.risk_level for r in high.filter("type1 = 'name' or type2 = 'name'").collect()} == {"high"}
+    nodes = spark.read.json(f"{done.graph_path}/nodes")
+    assert nodes.filter("data.method = 'gazetteer' and data.type = 'address'").count() == 1

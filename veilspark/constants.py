@@ -55,11 +55,15 @@ MASK_PATTERNS = {
 # --- fixed values: provenance --------------------------------------------------
 MODEL_LABELS = ["PERSON", "ORG", "GPE", "LOC"]
 LABEL_TYPES = {"PERSON": "name", "ORG": "organization", "GPE": "location", "LOC": "location"}
+# Types of our own that the pair rules know but no pattern gives; a dictionary or a
+# model brings them under these labels.
+OWN_LABELS = {"ADDRESS": "address", "ZIP": "zip", "EMPLOYER": "org"}
 MODEL_CONFIDENCE = 0.9
 REGEX_CONFIDENCE = 0.8
 PATTERN_CONFIDENCE = 0.7
 CONTEXT_CONFIDENCE = 0.6
 MODEL_METHOD = "model_ner"
+TERM_METHOD = "gazetteer"
 REGEX_METHOD = "regex"
 PATTERN_METHOD = "proximity_inference"
 CONTEXT_METHOD = "context_inference"

@@ -54,9 +54,12 @@ def cell_array(
     key: str,
     columns: Sequence[str],
     offset_basis: str = "cell",
-    model_hits: dict[str, Column] | None = None,
+    given: dict[str, dict[str, Column]] | None = None,
 ) -> Column:
-    """The row's text cells, in column order, as one array (empty cells included)."""
+    """The row's text cells, in column order, as one array (empty cells included).
+
+    ``given`` adds fields: for each its name and, by column, its value.
+    """
     if offset_basis not in ("cell", "row"):
         raise ValueError("offset_basis is 'cell' or 'row'")
     order = {name: i for i, name in enumerate(c for c in df.columns if c != key)}
@@ -69,11 +72,13 @@ def cell_array(
             base.cast("int").alias("base"),
             _named(name).cast("string").alias("text"),
         ]
-        if model_hits is not None:
-            fields.append(model_hits[name].alias("model_hits"))
+        fields += [values[name].alias(field) for field, values in (given or {}).items()]
         parts.append(F.struct(*fields))
     if not parts:  # nothing to scan still needs a typed array
-        return empty_array("struct<col_idx:int,column:string,base:int,text:string>")
+        hits = "".join(
+            f",{field}:array<struct<text:string,label:string,start:int,end:int>>" for field in given or {}
+        )
+        return empty_array(f"struct<col_idx:int,column:string,base:int,text:string{hits}>")
     return F.array(*parts)
 
 

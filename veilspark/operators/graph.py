@@ -15,6 +15,7 @@ from veilspark import constants as K
 from veilspark.functions.arrays import let, lookup
 from veilspark.operators.inference import inferred_array
 from veilspark.operators.proximity import codes_in, type_code
+from veilspark.operators.ranking import ranked
 
 EDGE_TILE = 128
 BROADCAST_NODES = 10_000
@@ -289,7 +290,7 @@ def _type_counts(nodes: Column) -> Column:
 def components(graph: DataFrame) -> DataFrame:
     """Connected components: size, types, mean weight, members.  One per row.
 
-    Unordered; ``orderBy(desc("risk_score"))`` gives the ranking when wanted.
+    Unordered; ``ranked_components`` adds the place by risk.
     """
     nodes = F.col("nodes")
     weights = F.aggregate(nodes, F.lit(0.0), lambda acc, n: acc + n["weight"])
@@ -317,6 +318,21 @@ def risk_clusters(graph: DataFrame) -> DataFrame:
     )
 
 
+def _by_risk(df: DataFrame, key: str, path: str | None) -> DataFrame:
+    """Highest risk first; sums in another order must not part equal risks, so nine places count."""
+    return ranked(df, [F.round("risk_score", 9).desc(), F.col(key).asc()], path=path)
+
+
+def ranked_components(graph: DataFrame, path: str | None = None) -> DataFrame:
+    """``components`` with ``rank``, their place by risk (ties by row)."""
+    return _by_risk(components(graph), "component_id", path)
+
+
+def ranked_clusters(graph: DataFrame, path: str | None = None) -> DataFrame:
+    """``risk_clusters`` with ``rank``, their place by risk (ties by row)."""
+    return _by_risk(risk_clusters(graph), "row_id", path)
+
+
 MEASURES = ("degree", "betweenness", "closeness")
 
 
@@ -361,17 +377,20 @@ def top_central(graph: DataFrame, measure: str = "degree", limit: int = K.TOP_CE
 def top_subgraph(
     graph: DataFrame, max_nodes: int = K.MAX_GRAPH_NODES, window: int = K.WINDOW
 ) -> tuple[DataFrame, DataFrame]:
-    """The ``max_nodes`` nodes of highest degree and the edges among them."""
-    top = _ranked(graph, "degree", max_nodes).select("node_id", "row_id")
-    ids, top_rows = top.select("node_id"), top.select("row_id").distinct()
-    if max_nodes <= BROADCAST_NODES:  # the limit bounds both
-        ids, top_rows = F.broadcast(ids), F.broadcast(top_rows)
-    kept = graph.join(top_rows, "row_id", "left_semi")
-    nodes = graph_nodes(kept).join(ids, "node_id", "left_semi")
-    edges = graph_edges(kept, window)
-    for end in ("src", "dst"):
-        edges = edges.join(ids.withColumnRenamed("node_id", end), end, "left_semi")
-    return nodes, edges
+    """The ``max_nodes`` nodes of highest degree and the edges among them.
+
+    The chosen ids cut the node arrays first, so at most their own pairs are built.
+    """
+    top = _ranked(graph, "degree", max_nodes).groupBy(F.col("row_id").alias("_row")).agg(
+        F.collect_set("node_id").alias("_ids")
+    )
+    if max_nodes <= BROADCAST_NODES:  # the limit bounds it
+        top = F.broadcast(top)
+    chosen = graph.join(top, F.col("row_id") == F.col("_row")).select(
+        "row_id",
+        F.filter("nodes", lambda n: F.array_contains(F.col("_ids"), n["node_id"])).alias("nodes"),
+    )
+    return graph_nodes(chosen), graph_edges(chosen, window)
 
 
 def cliques_hold(edges: DataFrame) -> DataFrame:

@@ -11,7 +11,9 @@ from veilspark.functions.arrays import chunked, let
 from veilspark.functions.dialect import detection_regex, mask_regex
 from veilspark.functions.spans import blocks, piece
 from veilspark.operators.cells import _named, chosen_columns
-from veilspark.operators.detect import ModelHook, _prepare, cell_spans
+from veilspark.operators.detect import ModelHook, _prepare, hidden, spans_of
+from veilspark.operators.gazetteer import Terms, attached
+from veilspark.sources.stage import staged
 
 SPAN_CHUNK = 64
 
@@ -163,26 +165,29 @@ def mask(
     steps: str = "all",
     model: ModelHook | None = None,
     extra_columns: Sequence[str] = (),
+    dictionary: DataFrame | Terms | None = None,
 ) -> DataFrame:
     """The table with its text columns masked; other columns pass through.
 
     Detected spans are masked in ``columns``; the pattern and name steps also run
-    over ``extra_columns``, the text columns that were not scanned.
+    over ``extra_columns``, the text columns that were not scanned.  ``model`` and
+    ``dictionary`` add spans as in ``detect``.
     """
     chosen = chosen_columns(df, key, columns)
-    base, cells = _prepare(df, key, columns, "cell", model)
+    base, cells = _prepare(df, key, columns, "cell", model, dictionary)
 
     def masked(c: Column) -> Column:
-        spans = cell_spans(c["text"], precedence, c["model_hits"] if model is not None else None)
+        spans = spans_of(c, precedence, model is not None, dictionary is not None)
         return masked_text(c["text"], spans, overlap, steps)
 
-    done = F.struct(F.transform(cells, masked).alias("_texts"))
+    texts = hidden(df, "_texts")
+    done = F.struct(F.transform(cells, masked).alias(texts))
     found = base.select(*[_named(c) for c in df.columns], F.inline(F.array(done)))
     place = {c: i for i, c in enumerate(chosen)}
 
     def out(name: str) -> Column:
         if name in place:
-            return F.get(F.col("_texts"), F.lit(place[name])).alias(name)
+            return F.get(F.col(texts), F.lit(place[name])).alias(name)
         if name in extra_columns and steps == "all":
             return masked_text(_named(name).cast("string"), None).alias(name)
         return _named(name)
@@ -193,24 +198,24 @@ def mask(
 def mask_detections(df: DataFrame, key: str, detections: DataFrame) -> DataFrame:
     """Span masking of a table from a detection frame made elsewhere.
 
-    Detections are grouped to one array per row before they meet the table, so
-    the join moves each row once; rows without detections keep their text.
+    Detections are grouped to one array per row.  A bitmap of the rows that have any
+    parts the table: only those rows are shuffled to meet their spans, the text of
+    all others stays where it is.
     """
     spans = F.struct(
         "column", "start", F.col("ent_ord").alias("rank"), "end",
     )
-    per_row = detections.groupBy(F.col("row_id").alias("_row")).agg(
-        F.array_sort(F.collect_list(spans)).alias("_spans")
+    name = hidden(df, "_spans")
+    per_row = staged(
+        detections.groupBy("row_id").agg(F.array_sort(F.collect_list(spans)).alias(name))
     )
-    joined = df.join(per_row, _named(key) == F.col("_row"), "left")
+    joined = attached(df, key, per_row, name)
     touched = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}
 
-    def one(name: str) -> Column:
-        if name == key or name not in touched:
-            return _named(name)
-        mine = F.filter(
-            F.coalesce(F.col("_spans"), F.array()), lambda s: s["column"] == name
-        )
-        return let(mine, lambda s: mask_spans(_named(name), s)).alias(name)
+    def one(column: str) -> Column:
+        if column == key or column not in touched:
+            return _named(column)
+        mine = F.filter(F.coalesce(F.col(name), F.array()), lambda s: s["column"] == column)
+        return let(mine, lambda s: mask_spans(_named(column), s)).alias(column)
 
     return joined.select(*[one(n) for n in df.columns])

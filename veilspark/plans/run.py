@@ -10,10 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from veilspark import constants as K
 from veilspark.functions.arrays import let
 from veilspark.operators.cells import _named, row_text, text_columns
-from veilspark.operators.detect import ModelHook, _entity, _prepare, cell_spans
-from veilspark.operators.graph import node_array
+from veilspark.operators.detect import ModelHook, _entity, _prepare, spans_of
+from veilspark.operators.gazetteer import Terms
+from veilspark.operators.graph import node_array, ranked_clusters, ranked_components
 from veilspark.operators.inference import inferred_array
-from veilspark.operators.mask import mask_merged, mask_names, mask_patterns, mask_spans
+from veilspark.operators.mask import (
+    mask_merged, mask_names, mask_patterns, mask_spans, masked_text,
+)
 from veilspark.operators.proximity import assess, window_pairs
 from veilspark.operators.risk import risk_struct
 from veilspark.plans.report import failed_graph_summary, graph_summary, report
@@ -44,21 +47,25 @@ def scan(
     offset_basis: str = "cell",
     overlap: str = "reference",
     model: ModelHook | None = None,
+    dictionary: DataFrame | Terms | None = None,
+    extra_columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Masked cells and all findings of every row, in one map-only pass.
 
-    Each cell is searched once; its spans feed both the mask and the entities.
-    Columns: ``row_id, masked`` (the table's columns, masked), ``entities, row_text,
-    pairs, inferred, risk, nodes``; all but the first two are NULL or empty in rows
-    without entities.
+    Each cell of ``columns`` is searched once; its spans feed both the mask and the
+    entities.  ``extra_columns`` (every other text column by default) are not searched,
+    but the masking patterns and names run over them, so nothing leaves in clear for
+    not being chosen.  Columns: ``row_id, masked`` (the table's columns, masked),
+    ``entities, row_text, pairs, inferred, risk, nodes``; all but the first two are
+    NULL or empty in rows without entities.  The table's own columns travel in one
+    struct, so they may have any name.
     """
-    base, cells = _prepare(df, key, columns, offset_basis, model)
+    base, cells = _prepare(df, key, columns, offset_basis, model, dictionary)
     by_spans = mask_spans if overlap == "reference" else mask_merged
 
     def seen(c: Column) -> Column:
-        hits = c["model_hits"] if model is not None else None
         return let(
-            cell_spans(c["text"], precedence, hits),
+            spans_of(c, precedence, model is not None, dictionary is not None),
             lambda s: F.struct(
                 F.transform(s, lambda x: _entity(c, x)).alias("entities"),
                 mask_names(mask_patterns(by_spans(c["text"], s))).alias("masked"),
@@ -79,20 +86,24 @@ def scan(
         ),
     )
     passed = [c for c in df.columns if c != key]
+    place = {c: i for i, c in enumerate(columns)}
+    if extra_columns is None:
+        extra_columns = text_columns(df, key)
+    others = {c for c in extra_columns if c not in place and c != key}
     found = base.select(
         _named(key).alias("row_id"),
-        *[_named(c) for c in passed],
+        F.struct(F.lit(0).alias("\x01"), *[_named(c).alias(c) for c in passed if c not in place]).alias("passed"),
         row_text(df, key).alias("_row_text"),
         F.inline(F.array(row)),
     )
-    place = {c: i for i, c in enumerate(columns)}
-    masked = F.struct(
-        F.col("row_id").alias(key),
-        *[
-            (F.get(F.col("texts"), F.lit(place[c])) if c in place else _named(c)).alias(c)
-            for c in passed
-        ],
-    )
+
+    def out(name: str) -> Column:
+        if name in place:
+            return F.get(F.col("texts"), F.lit(place[name]))
+        value = F.col("passed").getField(name)
+        return masked_text(value.cast("string"), None) if name in others else value
+
+    masked = F.struct(F.col("row_id").alias(key), *[out(c).alias(c) for c in passed])
     text, entities = F.col("_row_text"), F.col("entities")
     some = F.size(entities) > 0
     linked = found.select(
@@ -126,9 +137,14 @@ def run(
     """Validate, detect, analyse, report and mask; errors come back in the result.
 
     ``source`` is a path or a frame (a frame needs ``key``).  The scan is written
-    once to the shared checkpoint folder, so a lost executor costs a re-read and
+    once to a folder under ``output_dir``, so a lost executor costs a re-read and
     never a second detection; it holds the findings in clear and is deleted at
     the end unless ``keep_scan``.
+
+    ``options`` go to ``scan``: a ``model``, a ``dictionary`` (term, label), precedence
+    and the like.  Text columns outside ``columns`` are masked by patterns and names.
+    Details: detections, relations, assessments, inferred, row_risk, components and
+    risk_clusters, the last two with their rank by risk.
     """
     messages: list[str] = []
     stage = stage_path(spark, output_dir)
@@ -148,15 +164,16 @@ def _load(spark, source, key, columns, max_mb, stage, messages):
     if isinstance(source, DataFrame):
         if key is None:
             raise InputError("a DataFrame needs key=")
-        return source, key, columns
+        return source, key, columns, text_columns(source, key)
     info = validate_input(spark, source, max_mb)
     messages.append(f"Validated input with {info.n_rows} rows and {info.n_columns} columns")
     if source_format(source) == "csv":
         df, key, text = load_csv(spark, source, key=key, stage=f"{stage}/rows")
-        return df, key, columns if columns is not None else text
+        return df, key, columns, text
     if key is None:
         raise InputError("a keyless table must be CSV; give key=")
-    return read_table(spark, source), key, columns
+    df = read_table(spark, source)
+    return df, key, columns, text_columns(df, key)
 
 
 def _run(
@@ -165,11 +182,11 @@ def _run(
 ) -> RunResult:
     name = source if isinstance(source, str) else "DataFrame"
     keyless = isinstance(source, str) and key is None
-    df, key, columns = _load(spark, source, key, columns, max_mb, stage, messages)
-    if columns is None:
-        columns = text_columns(df, key)
+    df, key, columns, text = _load(spark, source, key, columns, max_mb, stage, messages)
+    columns = list(text if columns is None else columns)
 
-    done = staged(scan(spread(df, key), key, columns, window, **options), f"{stage}/scan")
+    scanned = scan(spread(df, key), key, columns, window, extra_columns=text, **options)
+    done = staged(scanned, f"{stage}/scan")
     hits = done.filter(F.size("entities") > 0)
     rows = hits.select("row_id", "row_text", "entities")
     risks = hits.select("row_id", "risk.*")
@@ -203,9 +220,14 @@ def _run(
         part = graph_summary(graph)
         summary_row = part.first()
         part = spark.createDataFrame([summary_row], part.schema)
+        for table, frame in (
+            ("components", ranked_components(graph, f"{stage}/components")),
+            ("risk_clusters", ranked_clusters(graph, f"{stage}/clusters")),
+        ):
+            frame.write.mode("overwrite").parquet(f"{details}/{table}")
         if with_graph_export:
+            export_graph(graph, f"{output_dir}/graph", window)
             graph_path = f"{output_dir}/graph"
-            export_graph(graph, graph_path, window)
         stats = summary_row["graph_stats"]
         messages.append(
             f"Graph analysis completed: {stats['nodes']} nodes, {stats['edges']} edges"
