@@ -541,6 +541,10 @@ ORACLE: dict[str, str] = {
  '(?i)javascript:', '', 'g'), '(?i)on\w+=', '', 'g'), '^[\s\x{0B}\x{FEFF}\x{2028}\x{2029}\p{Zs}]+|[\s\x{0B}\x{FEFF}\x{2028}\x{2029}\p{Zs}]+$', '', 'g') as clean from pages""",
     "sanitize_filename": "select page_id, regexp_replace(url, '[^a-zA-Z0-9._-]', '_', 'g') as filename from pages",
     "risk_badge": f"{_risk(FOLK)} select row_id, {_BADGE} as badge, printf('%.1f%%', context_score * 100) as score_pct from rr",
+    "csv_quoted_breaks": """select doc_id as row_id, length(t)::bigint as n, md5(t) as digest
+ from (select doc_id, text || chr(10) || '"said", she' as t from documents where text is not null)""",
+    "csv_keyless": """select count(*) as n_rows, 0::bigint as "first", count(*) - 1 as "last", count(*) as n_numbers,
+ count(distinct doc_id) as n_ids from documents where text is not null""",
     "csv_round_trip": f"{FOLK}, {_MASKED_CELLS} select row_id, {_WIDE} from m3 group by row_id",
     "graph_export": f"""{_graph(FOLK)} select 'node' as part, node_id as id, null::varchar as target, type as kind, null::double as weight from nodes
  union all select 'edge', src, dst, relation_type, weight from edges""",

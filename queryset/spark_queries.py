@@ -497,6 +497,29 @@ def csv_round_trip(spark, sf):
     return back.select(F.col("row_id").cast("long").alias("row_id"), *inputs.PEOPLE_TEXT)
 
 
+def _multi_line(spark, sf) -> str:
+    """Documents as CSV files, texts with their line breaks and quotes; the text is longer by a quote."""
+    path = f"{stage_path(spark)}/in.csv"
+    quoted = F.concat("text", F.lit('\n"said", she')).alias("text")
+    write_masked(_docs(spark, sf).filter("text is not null").select("row_id", quoted), path)
+    return path
+
+
+def csv_quoted_breaks(spark, sf):
+    df, _, _ = load_csv(spark, _multi_line(spark, sf), key="row_id")
+    return df.select(F.col("row_id").cast("long").alias("row_id"), F.length("text").cast("long").alias("n"), F.md5("text").alias("digest"))
+
+
+def csv_keyless(spark, sf):
+    """Rows numbered by their place in the files, a column ``row_id`` of the file kept beside."""
+    df, key, _ = load_csv(spark, _multi_line(spark, sf))
+    numbers = df.agg(
+        F.count("*").alias("n_rows"), F.min(key).cast("long").alias("first"), F.max(key).cast("long").alias("last"),
+        F.countDistinct(key).alias("n_numbers"), F.countDistinct("row_id").alias("n_ids"),
+    )
+    return numbers
+
+
 def graph_export(spark, sf):
     path = stage_path(spark)
     export_graph(staged(_people_graph(spark, sf)), path)
@@ -609,5 +632,7 @@ QUERIES: dict[str, Query] = {
     "sanitize_filename": sanitize_filename,
     "risk_badge": risk_badge,
     "csv_round_trip": csv_round_trip,
+    "csv_quoted_breaks": csv_quoted_breaks,
+    "csv_keyless": csv_keyless,
     "graph_export": graph_export,
 }

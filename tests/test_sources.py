@@ -1,5 +1,10 @@
+import csv
+import io
+import random
+
 import pytest
 
+from veilspark.sources.records import block_starts, csv_records, lines_of
 from veilspark.sources.tables import (
     InputError, has_quoted_newlines, load_csv, read_table, validate_input, write_masked,
 )
@@ -96,3 +101,63 @@ def test_other_formats(spark, tmp_path):
         path = str(tmp_path / f"t.{fmt}")
         write_masked(df, path, fmt)
         assert read_table(spark, path).select("id", "t").collect() == [(1, "x")]
+
+
+def random_table(seed, n):
+    """Rows whose cells hold quotes, commas, line breaks of both kinds, blanks and long runs."""
+    rng = random.Random(seed)
+    parts = ["a", "é", ",", '"', "\n", "\r\n", " ", "東", "word", '""', "\n\n", "x" * 40]
+    rows = [
+        [str(i), *["".join(rng.choice(parts) for _ in range(rng.choice([0, 1, 3, 8, 30]))) for _ in range(2)]]
+        for i in range(n)
+    ]
+    rows[n // 2][1] = "begin\n" + "line, with \"quotes\"\n" * 300 + "end"  # longer than many blocks
+    return rows
+
+
+@pytest.mark.parametrize("size", [64, 700, 100_000])
+def test_quoted_breaks_across_block_borders(spark, csv_file, size):
+    rows = random_table(size, 400)
+    out = io.StringIO(newline="")
+    csv.writer(out, lineterminator="\n").writerows([["id", "a", "b"], *rows])
+    path = csv_file("breaks.csv", "")
+    with open(path, "w", newline="") as f:
+        f.write(out.getvalue())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        assert block_starts(lines_of(spark, path)).count() > (1 if size < 10_000 else 0)
+        found = csv_records(spark, path).orderBy("file", "block", "place").collect()
+        parsed = [next(csv.reader(io.StringIO(r.record, newline=""))) for r in found]
+        assert parsed == rows
+        df, key, _ = load_csv(spark, path)
+        got = {r[key]: (r.id, r.a, r.b) for r in df.collect()}
+        want = {i: (r[0], *[c if c != "" else None for c in r[1:]]) for i, r in enumerate(rows)}
+        assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+        same = [k for k in want if tuple((x or "").replace("\r\n", "\n") for x in got[k]) == tuple((x or "").replace("\r\n", "\n") for x in want[k])]
+        assert len(same) == len(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_several_files_keep_their_headers_out(spark, tmp_path):
+    home = tmp_path / "many.csv"
+    home.mkdir()
+    (home / "1.csv").write_text('a,b\n1,"x\ny"\n\n2,z\n')
+    (home / "2.csv").write_text('a,b\r\n3,"p\nq"\r\n4,r\r\n')
+    df, key, _ = load_csv(spark, str(home))
+    assert [(r[key], r.a, r.b) for r in df.orderBy(key).collect()] == [(0, "1", "x\ny"), (1, "2", "z"), (2, "3", "p\nq"), (3, "4", "r")]
+
+
+def test_a_column_called_like_the_key(spark, csv_file):
+    path = csv_file("own.csv", 'row_id,file,block,place,t\n5,f,b,p,"x\ny"\n6,f,b,p,John Doe\n')
+    df, key, text = load_csv(spark, path)
+    assert key == "_row_id" and text == ["file", "block", "place", "t"]
+    assert [tuple(r) for r in df.orderBy(key).collect()] == [(0, "5", "f", "b", "p", "x\ny"), (1, "6", "f", "b", "p", "John Doe")]
+    plain = csv_file("plain.csv", "row_id,t\n5,x\n")
+    assert load_csv(spark, plain)[1] == "_row_id"
+
+
+def test_mistyped_key_is_an_error(spark, csv_file):
+    with pytest.raises(InputError, match="unknown key"):
+        load_csv(spark, csv_file("m.csv", "id,t\n1,x\n"), key="idd")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from veilspark import constants as K
 from veilspark.operators.cells import _named
+from veilspark.sources.records import csv_records, lines_of, quotes_in
 from veilspark.sources.stage import stage_path, staged
 
 EXTRA = "__extra"
@@ -37,21 +38,28 @@ def _csv_options(multi_line: bool) -> dict:
 
 
 def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
-    """Can a record of this file span lines?  (A line with an odd number of quotes.)
+    """Can a record of this file span lines?  (A line with an odd number of quotes.)"""
+    return not lines_of(spark, path).filter(quotes_in(F.col("value")) % 2 == 1).isEmpty()
 
-    If not, the file can be read line by line, which splits it over tasks;
-    otherwise each file is one task.
-    """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+def _fresh(name: str, columns: list[str]) -> str:
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, multi_line: bool | None = None, place: str | None = None
+) -> DataFrame:
     """A CSV table with every column as text and missing-value tokens as NULL.
 
     Short rows are padded with NULL.  The sentinel column ``__extra`` is not NULL
     where a row has more fields than the header; ``validate_input`` and
-    ``refuse_ragged`` turn that into an error.
+    ``refuse_ragged`` turn that into an error.  Files are split over tasks whether or
+    not their cells hold line breaks: without any, line by line; otherwise by records
+    (``csv_records``).  With ``place``, a column of that name tells file, block and
+    place of every row.
     """
     if multi_line is None:
         multi_line = has_quoted_newlines(spark, path)
@@ -59,7 +67,28 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) ->
     if not header:
         raise InputError("CSV file is empty")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, EXTRA]])
-    return spark.read.options(**_csv_options(multi_line)).schema(schema).csv(path)
+    if not multi_line:
+        lines = spark.read.options(**_csv_options(False)).schema(schema).csv(path)
+        if place is None:
+            return lines
+        at = F.struct(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("place"),
+        )
+        return lines.select("*", at.alias(place))
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in _csv_options(False).items()}
+    del options["header"], options["enforceSchema"], options["multiLine"]
+    parsed = csv_records(spark, path).select(
+        F.from_csv("record", _ddl(schema), options).alias("r"),
+        F.struct("file", "block", "place").alias("at"),
+    )
+    return parsed.select(
+        *[F.col("r").getField(c).alias(c) for c in schema.names], *([F.col("at").alias(place)] if place else [])
+    )
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
 
 
 def _known(name: str) -> Column:
@@ -100,8 +129,10 @@ def text_like_columns(df: DataFrame) -> list[str]:
     return text
 
 
-def with_row_id(df: DataFrame, name: str = "row_id", stage: str | None = None) -> DataFrame:
-    """Number the rows of a file-based frame 0..N-1 in file order.
+def with_row_id(
+    df: DataFrame, name: str = "row_id", place: str = "_at", stage: str | None = None
+) -> DataFrame:
+    """Number the rows of a frame of ``read_csv`` (with ``place``) 0..N-1 in file order.
 
     The rows are staged with the file block they came from (block borders may
     change from one read to the next, a written table does not), counted per
@@ -109,26 +140,21 @@ def with_row_id(df: DataFrame, name: str = "row_id", stage: str | None = None) -
     before.  There is one count per block, so the window and the broadcast stay
     small; the broadcast is checked all the same.
     """
+    rest = [c for c in df.columns if c != place]
     placed = staged(
-        df.select(
-            "*",
-            F.monotonically_increasing_id().alias("_place"),
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_block"),
-        ),
+        df.select(F.struct(*[_named(c) for c in rest]).alias("row"), f"{place}.*"),
         stage or stage_path(df.sparkSession),
     )
-    blocks = placed.groupBy("_file", "_block").agg(
-        F.count("*").alias("_n"), F.min("_place").alias("_first")
+    blocks = placed.groupBy("file", "block").agg(
+        F.count("*").alias("n"), F.min("place").alias("first")
     )
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     if blocks.count() <= BROADCAST_BLOCKS:
         offsets = F.broadcast(offsets)
-    return (
-        placed.join(offsets, ["_file", "_block"])
-        .withColumn(name, F.col("_base") + F.col("_place") - F.col("_first"))
-        .select(name, *[_named(c) for c in df.columns])
+    number = F.col("base") + F.col("place") - F.col("first")
+    return placed.join(offsets, ["file", "block"]).select(
+        number.alias(name), *[F.col("row").getField(c).alias(c) for c in rest]
     )
 
 
@@ -141,12 +167,20 @@ def load_csv(
 ) -> tuple[DataFrame, str, list[str]]:
     """A CSV table ready for analysis: the frame, its key and its text columns.
 
-    Without ``key`` the row position is the key, in a column ``row_id``.
+    Without ``key`` the row position is the key, in a column ``row_id`` (with
+    underscores in front where the file has that name itself).  A ``key`` that the
+    file does not have is an error.
     """
-    raw = read_csv(spark, path, multi_line)
-    columns = [c for c in raw.columns if c != EXTRA]
-    table = refuse_ragged(raw if key in columns else with_row_id(raw, stage=stage))
-    key = key if key in columns else "row_id"
+    place = "\x01at"
+    raw = read_csv(spark, path, multi_line, place)
+    columns = [c for c in raw.columns if c not in (EXTRA, place)]
+    if key is None:
+        key = _fresh("row_id", columns)
+        table = refuse_ragged(with_row_id(raw, key, place, stage))
+    elif key in columns:
+        table = refuse_ragged(raw.drop(place))
+    else:
+        raise InputError(f"unknown key column: {key}")
     names = [c for c in columns if c != key]
     clean = table.select(_named(key), *[_known(c) for c in names])
     return clean, key, text_like_columns(clean.select(*[_named(c) for c in names]))
