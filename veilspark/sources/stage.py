@@ -54,6 +54,20 @@ def drop_stage(spark: SparkSession, path: str) -> None:
     _LIVE.pop(path, None)
 
 
+def live_stages() -> set[str]:
+    """Paths of the stages that are still there."""
+    return set(_LIVE)
+
+
+def drop_unread(paths: set[str], *kept: DataFrame) -> set[str]:
+    """Drop those of ``paths`` that no frame in ``kept`` reads; returns the others."""
+    read = [f for df in kept for f in df.inputFiles()]
+    used = {p for p in paths & live_stages() if any(p.rsplit("/", 1)[1] in f for f in read)}
+    for path in paths & live_stages() - used:
+        drop_stage(_LIVE[path], path)
+    return used
+
+
 def drop_all(spark: SparkSession | None = None) -> None:
     """Drop every stage that is still there (of one session, or of all)."""
     for path, owner in list(_LIVE.items()):
