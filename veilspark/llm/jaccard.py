@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from veilspark.llm.components import connected
 from veilspark.llm.words import buffers, lowered, mixed, row_blocks, signed, split_words, window_hashes
-from veilspark.sources.stage import staged
+from veilspark.sources.stage import drop_unread, live_stages, staged
 
 ORDERS = 3
 SKETCH_BITS = 22
@@ -295,10 +295,15 @@ def _wide_links(wide: DataFrame, sets, percent: int) -> DataFrame:
     return dealt.groupBy("root", "i", "j").applyInArrow(_tile_links(percent), "a binary, b binary")
 
 
-def _components(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, keep: list[str], names: list[str], wide: int) -> DataFrame:
+def _components(
+    docs: DataFrame, doc_id: str, text: str, width: int, percent: int, keep: list[str], names: list[str], wide: int,
+    tidy: bool = False,
+) -> DataFrame:
     """Kept columns with ``n``, ``__doc``, ``__rid`` and ``best``: the first row
-    (null ids last) of the component, null for texts without a shingle."""
+    (null ids last) of the component, null for texts without a shingle.  With ``tidy``
+    the tables that led to the links are dropped once the components are known."""
     spark = docs.sparkSession
+    before = live_stages()
     rows = docs.select(
         *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)],
         F.col(f"`{doc_id}`").alias("__doc"), F.xxhash64(F.col(f"`{text}`")).alias("__hash"),
@@ -354,6 +359,8 @@ def _components(docs: DataFrame, doc_id: str, text: str, width: int, percent: in
     if broad.take(1):
         links = links.union(_wide_links(broad, sets, percent))
     roots = connected(links)
+    if tidy:
+        drop_unread(live_stages() - before, docs, described, classes, roots)
     named = classes.select("mark", "best").join(roots, classes["mark"] == roots["node"], "left").select(
         "mark", "best", F.coalesce("root", "mark").alias("root")
     )
@@ -399,6 +406,6 @@ def one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     its row of smallest id (of several such rows, one).  Rows without a shingle
     all stay.  Cases as in ``jaccard_components``; columns unchanged."""
     names = [f"c{i}" for i in range(len(docs.columns))]
-    found = _components(docs, doc_id, text, width, percent, docs.columns, names, wide)
+    found = _components(docs, doc_id, text, width, percent, docs.columns, names, wide, tidy=True)
     kept = found.filter("best is null or best.rid = __rid")
     return kept.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
