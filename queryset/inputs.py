@@ -53,3 +53,21 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.element_at(F.array(*[F.lit(x) for x in ("LOC", "PERSON", "ORG")]), words % 3 + 1)
     clauses = clauses.filter(words >= 2).select("term", kind.alias("label"))
     return clauses.unionByName(spark.createDataFrame(FIXED_TERMS, "term string, label string"))
+
+
+def part_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that stand next to each other in an order: a graph that is no union of cliques."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    after = lines.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("l_partkey").alias("dst"))
+    return lines.join(after, ["l_orderkey", "l_linenumber"]).select(F.col("l_partkey").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
+
+
+def turn_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn of a conversation with the next one."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn")
+    after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"))
+
+    def node(step: int):
+        return F.format_string("%08d:%06d", F.col("conv_id").cast("long"), F.col("turn").cast("long") + step)
+
+    return turns.join(after, ["conv_id", "turn"]).select(node(0).alias("src"), node(1).alias("dst"))

@@ -418,6 +418,27 @@ _TEXT = f"""{_FULL},
   union all select 3, ord, (ord + 1) || '. ' || line from advice)
  select cast(row_number() over (order by a, b) - 1 as bigint) as ord, line from lines"""
 
+# --- edges from elsewhere -----------------------------------------------------------------------
+
+_PART_LINKS = """with e as (select distinct least(a.l_partkey, b.l_partkey)::bigint as x, greatest(a.l_partkey, b.l_partkey)::bigint as y
+  from lineitem a join lineitem b on a.l_orderkey = b.l_orderkey and b.l_linenumber = a.l_linenumber + 1),
+ near as (select x as node, y as other from e where x <> y union all select y, x from e where x <> y),
+ nodes as (select node, count_if(not l) as d, count_if(l) as loops from (
+  select x as node, x = y as l from e union all select y, false from e where x <> y) group by node),
+ tri as (select a.node, count(*) as t from near a join near b on a.node = b.node and a.other < b.other
+  join e on e.x = a.other and e.y = b.other group by a.node),
+ full_ as (select node, (d + 2 * loops)::bigint as degree, coalesce(t, 0)::bigint as triangles,
+  case when d > 1 then 2.0::double * coalesce(t, 0) / (d * (d - 1)) else 0 end as clustering
+  from nodes left join tri using (node)),
+ reach as (select count(*) as n from (
+  with recursive r(node) as (select min(node) from nodes union select near.other from r join near on near.node = r.node)
+  select node from r))"""
+_TURN_LINKS = """with e as (select printf('%08d:%06d', a.conv_id::bigint, a.turn::bigint) as x, printf('%08d:%06d', b.conv_id::bigint, b.turn::bigint) as y
+  from conversations a join conversations b on a.conv_id = b.conv_id and b.turn = a.turn + 1),
+ near as (select x as a, y as b from e union select y, x from e),
+ walk as (with recursive r(a, b) as (select a, a from near union select r.a, near.b from r join near on near.a = r.b) select a, b from r),
+ home as (select a as node, min(b) as component_id, count(*)::bigint as size from walk group by a)"""
+
 _BADGE = "case overall_risk when 'low' then 'badge-success' when 'medium' then 'badge-warning' when 'high' then 'badge-danger' end"
 
 
@@ -546,6 +567,15 @@ ORACLE: dict[str, str] = {
     "csv_keyless": """select count(*) as n_rows, 0::bigint as "first", count(*) - 1 as "last", count(*) as n_numbers,
  count(distinct doc_id) as n_ids from documents where text is not null""",
     "csv_round_trip": f"{FOLK}, {_MASKED_CELLS} select row_id, {_WIDE} from m3 group by row_id",
+    "edges_stats": f"""{_PART_LINKS} select (select count(*) from nodes)::bigint as nodes, (select count(*) from e)::bigint as edges,
+ round(2.0::double * (select count(*) from e) / ((select count(*) from nodes) * ((select count(*) from nodes) - 1)), 6) as density,
+ round(avg(clustering), 6) as average_clustering, (select n from reach) = (select count(*) from nodes) as is_connected from full_""",
+    "edges_degree": f"{_PART_LINKS} select node, degree, triangles, round(clustering, 6) as clustering from full_",
+    "edges_top": f"""{_PART_LINKS} select node, round(degree::double / ((select count(*) from nodes) - 1), 6) as centrality from full_
+ order by degree desc, node limit {K.TOP_CENTRAL}""",
+    "edges_components": f"{_TURN_LINKS} select node, component_id, size from home",
+    "edges_uneven": f"""{_TURN_LINKS} select component_id, any_value(size) as size, count(*)::bigint as n_edges
+ from home join e on e.x = home.node group by component_id having count(*) <> any_value(size) * (any_value(size) - 1) / 2""",
     "graph_export": f"""{_graph(FOLK)} select 'node' as part, node_id as id, null::varchar as target, type as kind, null::double as weight from nodes
  union all select 'edge', src, dst, relation_type, weight from edges""",
 }

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from queryset import inputs
 from veilspark import constants as K
 from veilspark.functions import text as X
+from veilspark.operators import edges as E
 from veilspark.operators import graph as G
 from veilspark.operators import inference, mask, proximity, risk, summary
 from veilspark.operators.cells import cells, row_text
@@ -381,6 +382,28 @@ def cliques_hold(spark, sf):
     )
 
 
+def edges_stats(spark, sf):
+    return E.edge_stats(inputs.part_links(spark, sf)).select(
+        "nodes", "edges", _r6("density"), _r6("average_clustering"), "is_connected"
+    )
+
+
+def edges_degree(spark, sf):
+    return E.edge_clustering(inputs.part_links(spark, sf)).select("node", "degree", "triangles", _r6("clustering"))
+
+
+def edges_top(spark, sf):
+    return E.edge_top_central(inputs.part_links(spark, sf)).select("node", _r6("centrality"))
+
+
+def edges_components(spark, sf):
+    return E.edge_components(inputs.turn_links(spark, sf)).select("node", "component_id", "size")
+
+
+def edges_uneven(spark, sf):
+    return E.uneven_components(inputs.turn_links(spark, sf)).select("component_id", "size", "n_edges")
+
+
 # --- masking ------------------------------------------------------------------------------
 
 
@@ -635,4 +658,9 @@ QUERIES: dict[str, Query] = {
     "csv_quoted_breaks": csv_quoted_breaks,
     "csv_keyless": csv_keyless,
     "graph_export": graph_export,
+    "edges_stats": edges_stats,
+    "edges_degree": edges_degree,
+    "edges_top": edges_top,
+    "edges_components": edges_components,
+    "edges_uneven": edges_uneven,
 }
