@@ -418,6 +418,17 @@ _TEXT = f"""{_FULL},
   union all select 3, ord, (ord + 1) || '. ' || line from advice)
  select cast(row_number() over (order by a, b) - 1 as bigint) as ord, line from lines"""
 
+
+
+def _exact(graph: str) -> str:
+    """Sums are taken of weights that are not rounded yet."""
+    return graph.replace("round(coalesce(p.w, c.w), 6) as weight", "coalesce(p.w, c.w) as weight")
+
+
+_EDGE_TYPES = """kinds as (select e.row_id, least(a.type, b.type) as type1, greatest(a.type, b.type) as type2, weight, relation_type,
+  src = dst or relation_type = 'proximity' as own
+ from edges e join nodes a on a.node_id = e.src join nodes b on b.node_id = e.dst)"""
+
 # --- edges from elsewhere -----------------------------------------------------------------------
 
 _PART_LINKS = """with e as (select distinct least(a.l_partkey, b.l_partkey)::bigint as x, greatest(a.l_partkey, b.l_partkey)::bigint as y
@@ -567,6 +578,12 @@ ORACLE: dict[str, str] = {
     "csv_keyless": """select count(*) as n_rows, 0::bigint as "first", count(*) - 1 as "last", count(*) as n_numbers,
  count(distinct doc_id) as n_ids from documents where text is not null""",
     "csv_round_trip": f"{FOLK}, {_MASKED_CELLS} select row_id, {_WIDE} from m3 group by row_id",
+    "graph_compact": f"""{_exact(_graph(FOLK))}, {_EDGE_TYPES} select row_id, type1, type2, count_if(not own)::bigint as n_plain,
+ coalesce(round(sum(weight) filter (not own), 6), 0) as plain_weight, count_if(own)::bigint as n_own,
+ coalesce(round(sum(weight) filter (own), 6), 0) as own_weight from kinds group by all""",
+    "graph_expanded": f"{_graph(DOCS)} select row_id, src, dst, weight, relation_type, distance from edges",
+    "graph_export_compact": f"""{_exact(_graph(FOLK))}, {_EDGE_TYPES} select case when own then relation_type else type1 || '|' || type2 end as kind,
+ count(*)::bigint as n, round(sum(weight), 4) as weight from kinds group by 1""",
     "edges_stats": f"""{_PART_LINKS} select (select count(*) from nodes)::bigint as nodes, (select count(*) from e)::bigint as edges,
  round(2.0::double * (select count(*) from e) / ((select count(*) from nodes) * ((select count(*) from nodes) - 1)), 6) as density,
  round(avg(clustering), 6) as average_clustering, (select n from reach) = (select count(*) from nodes) as is_connected from full_""",

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from queryset import inputs
 from veilspark import constants as K
 from veilspark.functions import text as X
+from veilspark.operators import compact as C
 from veilspark.operators import edges as E
 from veilspark.operators import graph as G
 from veilspark.operators import inference, mask, proximity, risk, summary
@@ -313,6 +314,18 @@ def graph_edges_detected(spark, sf):
     )
 
 
+def graph_compact(spark, sf):
+    found = C.graph_compact(_people_graph(spark, sf)).select("row_id", F.inline("links"))
+    plain = F.round(F.col("n_plain") * F.col("plain_weight"), 6)
+    return found.select("row_id", "type1", "type2", "n_plain", plain.alias("plain_weight"), "n_own", _r6("own_weight"))
+
+
+def graph_expanded(spark, sf):
+    return C.expand(staged(C.graph_compact(_doc_graph(spark, sf)))).select(
+        "row_id", "src", "dst", _r6("weight"), "relation_type", *_long("distance")
+    )
+
+
 def _graph_stats(graph) -> Query:
     def query(spark, sf):
         return G.graph_stats(graph(spark, sf)).select(
@@ -545,7 +558,7 @@ def csv_keyless(spark, sf):
 
 def graph_export(spark, sf):
     path = stage_path(spark)
-    export_graph(staged(_people_graph(spark, sf)), path)
+    export_graph(staged(_people_graph(spark, sf)), path, expanded=True)
     nodes = spark.read.schema("id string, data struct<type:string,row:long>").json(f"{path}/nodes")
     edges = spark.read.schema(
         "source string, target string, data struct<weight:double,relation_type:string>"
@@ -562,6 +575,21 @@ def graph_export(spark, sf):
     )
 
 
+def graph_export_compact(spark, sf):
+    path = stage_path(spark)
+    export_graph(staged(_people_graph(spark, sf)), path)
+    edges = spark.read.schema("source string, target string, data struct<weight:double,relation_type:string>").json(f"{path}/edges")
+    links = spark.read.schema("row long, size long, links array<struct<type1:string,type2:string,count:long,weight:double>>")
+    cliques = links.json(f"{path}/cliques").select("row", F.inline("links"))
+    own = edges.groupBy(F.col("data.relation_type").alias("kind")).agg(
+        F.count("*").alias("n"), F.round(F.sum("data.weight"), 4).alias("weight")
+    )
+    plain = cliques.groupBy(F.concat_ws("|", "type1", "type2").alias("kind")).agg(
+        F.sum("count").alias("n"), F.round(F.sum(F.col("count") * F.col("weight")), 4).alias("weight")
+    )
+    return own.unionByName(plain)
+
+
 def _job(spark, sf, **options) -> tuple:
     """The whole job over the table of people; what it wrote is read back."""
     out = stage_path(spark)
@@ -658,6 +686,9 @@ QUERIES: dict[str, Query] = {
     "csv_quoted_breaks": csv_quoted_breaks,
     "csv_keyless": csv_keyless,
     "graph_export": graph_export,
+    "graph_export_compact": graph_export_compact,
+    "graph_compact": graph_compact,
+    "graph_expanded": graph_expanded,
     "edges_stats": edges_stats,
     "edges_degree": edges_degree,
     "edges_top": edges_top,

@@ -75,7 +75,10 @@ def test_demo_outputs(spark, demo):
     nodes = spark.read.json(f"{result.graph_path}/nodes")
     edges = spark.read.json(f"{result.graph_path}/edges")
     stats = report["graph_summary"]["graph_stats"]
-    assert (nodes.count(), edges.count()) == (stats["nodes"], stats["edges"])
+    cliques = spark.read.json(f"{result.graph_path}/cliques")  # all edges without a weight of their own
+    plain_ones = cliques.selectExpr("inline(links)").agg({"count": "sum"}).first()[0]
+    assert (nodes.count(), edges.count() + plain_ones) == (stats["nodes"], stats["edges"])
+    assert edges.count() < stats["edges"] and cliques.count() == report["graph_summary"]["n_components"]
     assert set(nodes.columns) == {"id", "data"} and set(edges.columns) == {
         "source", "target", "data",
     }

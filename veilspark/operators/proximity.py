@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -53,12 +53,50 @@ def _rebased(e: Column) -> Column:
     return F.struct(*[fields[n].alias(n) for n in ENTITY_FIELDS])
 
 
+def tiled_pairs(items: Column, window: int, pair: Callable[[Column, Column], Column]) -> Column:
+    """``pair(a, b)`` of all items, sorted by their field ``at``, that lie within the window.
+
+    The items are cut into tiles; a tile is only compared with the tiles that begin up
+    to its last place plus the window, so the work grows with the number of pairs and
+    not with the square of the items.
+    """
+
+    def tile_pairs(items: Column, starts: Column, begin: Column) -> Column:
+        def against(head: Column) -> Column:
+            limit = F.element_at(head, -1)["at"] + window
+            reach = F.size(F.filter(starts, lambda s: s <= limit)) * TILE
+            near = F.slice(items, begin + 1, reach - begin)
+            return let(
+                near,
+                lambda cand: F.flatten(
+                    F.transform(
+                        head,
+                        lambda a, i: F.transform(
+                            F.filter(
+                                cand, lambda b, j: (j > i) & (b["at"] - a["at"] <= window)
+                            ),
+                            lambda b: pair(a, b),
+                        ),
+                    )
+                ),
+            )
+
+        return let(F.slice(items, begin + 1, F.lit(TILE)), against)
+
+    def all_tiles(items: Column) -> Column:
+        begins = F.sequence(F.lit(0), F.size(items) - 1, F.lit(TILE))
+        starts = F.transform(begins, lambda b: F.get(items, b)["at"])
+        return let(
+            starts,
+            lambda s: F.flatten(F.transform(begins, lambda b: tile_pairs(items, s, b))),
+        )
+
+    return let(items, all_tiles)
+
+
 def window_pairs(entities: Column, window: int, row_text: Column | None = None) -> Column:
     """All pairs with ``|start1 - start2| <= window`` of one row, as an array.
 
-    The entities are sorted by start and cut into tiles; a tile is only compared
-    with the tiles that begin up to its last start plus the window, so the work
-    grows with the number of pairs and not with the square of the entities.
     With ``row_text`` each pair also gets the text between its two entities, cut
     from a snippet of at most ``window`` characters kept per entity.
     """
@@ -95,36 +133,6 @@ def window_pairs(entities: Column, window: int, row_text: Column | None = None)
             )
         return F.struct(*parts)
 
-    def tile_pairs(items: Column, starts: Column, begin: Column) -> Column:
-        def against(head: Column) -> Column:
-            limit = F.element_at(head, -1)["at"] + window
-            reach = F.size(F.filter(starts, lambda s: s <= limit)) * TILE
-            near = F.slice(items, begin + 1, reach - begin)
-            return let(
-                near,
-                lambda cand: F.flatten(
-                    F.transform(
-                        head,
-                        lambda a, i: F.transform(
-                            F.filter(
-                                cand, lambda b, j: (j > i) & (b["at"] - a["at"] <= window)
-                            ),
-                            lambda b: pair(a, b),
-                        ),
-                    )
-                ),
-            )
-
-        return let(F.slice(items, begin + 1, F.lit(TILE)), against)
-
-    def all_tiles(items: Column) -> Column:
-        begins = F.sequence(F.lit(0), F.size(items) - 1, F.lit(TILE))
-        starts = F.transform(begins, lambda b: F.get(items, b)["at"])
-        return let(
-            starts,
-            lambda s: F.flatten(F.transform(begins, lambda b: tile_pairs(items, s, b))),
-        )
-
     if with_text:
         located = let(
             blocks(row_text),
@@ -132,7 +140,7 @@ def window_pairs(entities: Column, window: int, row_text: Column | None = None)
         )
     else:
         located = F.transform(entities, lambda e, i: item(e, i, None))
-    return F.when(F.size(entities) > 1, let(F.array_sort(located), all_tiles))
+    return F.when(F.size(entities) > 1, tiled_pairs(F.array_sort(located), window, pair))
 
 
 def relations(rows: DataFrame, window: int = K.WINDOW) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veilspark import constants as K
+from veilspark.operators.compact import graph_compact
 from veilspark.operators.graph import graph_edges, graph_nodes, graph_totals
 
 
@@ -46,12 +47,39 @@ def export_metadata(graph: DataFrame, window: int = K.WINDOW) -> DataFrame:
     )
 
 
-def export_graph(graph: DataFrame, path: str, window: int = K.WINDOW) -> None:
-    """The graph as three JSON data sets under ``path``: nodes, edges, metadata."""
-    parts = {
-        "nodes": export_nodes(graph),
-        "edges": export_edges(graph, window),
-        "metadata": export_metadata(graph, window),
-    }
+def export_cliques(compact: DataFrame) -> DataFrame:
+    """``{row, size, links}`` per row: its plain co-occurrences by pair of types."""
+    links = F.transform(
+        F.filter("links", lambda x: x["n_plain"] > 0),
+        lambda x: F.struct(
+            x["type1"].alias("type1"), x["type2"].alias("type2"), x["n_plain"].alias("count"), x["plain_weight"].alias("weight")
+        ),
+    )
+    return compact.select(F.col("row_id").alias("row"), F.size("members").alias("size"), links.alias("links"))
+
+
+def export_own_edges(compact: DataFrame) -> DataFrame:
+    """``{source, target, data}`` of the edges with a weight of their own."""
+    own = compact.select(F.inline("own"))
+    return own.select(
+        F.col("src").alias("source"), F.col("dst").alias("target"), F.struct("weight", "relation_type", "distance").alias("data")
+    )
+
+
+def export_graph(graph: DataFrame, path: str, window: int = K.WINDOW, expanded: bool = False) -> None:
+    """The graph as JSON data sets under ``path``, linear in its nodes.
+
+    ``nodes`` and ``metadata``; ``edges`` holds the edges with a weight of their own, and
+    ``cliques`` one record per row for all others: each two nodes of the row that have no
+    edge in ``edges`` are linked with the weight of their pair of types.  ``expanded=True``
+    writes every edge into ``edges`` instead, and no ``cliques``.
+    """
+    parts = {"nodes": export_nodes(graph), "metadata": export_metadata(graph, window)}
+    if expanded:
+        parts["edges"] = export_edges(graph, window)
+    else:
+        compact = graph_compact(graph, window)
+        parts["edges"] = export_own_edges(compact)
+        parts["cliques"] = export_cliques(compact)
     for name, frame in parts.items():
         frame.write.mode("overwrite").json(f"{path}/{name}")
