@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from veilspark.llm.frames import text_slices
+from veilspark.llm.frames import kept_names, text_slices
 from veilspark.llm.segments import segments
 
 NO_RANK = np.int32(2**31 - 1)
@@ -198,14 +198,14 @@ def bpe_round_trip(
     Texts are first cut where a match boundary is certain, and equal segments
     of a worker are encoded and decoded once.  A null text is an empty one
     (no ids).  Repeated rows give repeated results, an empty table an empty
-    result.  A kept column called like an output is renamed with a leading
-    underscore.  Map-only, no shuffle; memory is bounded by the cache, by
+    result.  A kept column called like an output gets underscores in front
+    until it differs.  Map-only, no shuffle; memory is bounded by the cache, by
     slices of a few MB and by the longest text.
     """
     types = {"n_tokens": "long", "ids": T.ArrayType(T.IntegerType()), "decoded": "binary", "ids_sha256": "string", "decoded_sha256": "string"}
     keep = [c for c in docs.columns if c != text] if keep is None else keep
     source = docs.select(
-        *[F.col(f"`{c}`").alias(f"_{c}" if c.lower() in outputs else c) for c in keep],
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(keep, kept_names(keep, (*outputs, "__text")), strict=True)],
         F.col(f"`{text}`").alias("__text"),
     )
     names = source.columns[:-1]

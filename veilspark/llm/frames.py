@@ -37,6 +37,22 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def kept_names(keep: Iterable[str], taken: Iterable[str]) -> list[str]:
+    """Names for the columns ``keep`` next to those in ``taken``: one that clashes gets
+    underscores in front until it differs from all taken and all kept names."""
+    keep = list(keep)
+    held = {t.lower() for t in taken}
+    used = held | {c.lower() for c in keep}
+    out = []
+    for name in keep:
+        if name.lower() in held:
+            while name.lower() in used:
+                name = f"_{name}"
+            used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def rest_of(batch: pa.RecordBatch, names: list[str]) -> list[pa.Array]:
     return [batch.column(batch.schema.get_field_index(n)) for n in names]
 

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from veilspark.llm.components import connected
+from veilspark.llm.frames import kept_names
 from veilspark.llm.words import buffers, lowered, mixed, row_blocks, signed, split_words, window_hashes
 from veilspark.sources.stage import drop_unread, live_stages, staged
 
@@ -389,11 +390,11 @@ def jaccard_components(
     the one shingle.  A null, empty or wordless text has no shingles and links
     with nothing: its component is its own id.  Rows with equal sets are linked.
     A null id takes part like any other row and names a component only if no
-    row of it has an id.  Kept columns called like a result are prefixed with
-    an underscore.  An empty table gives an empty result.
+    row of it has an id.  Kept columns called like a result get
+    underscores in front until they differ.  An empty table gives an empty result.
     """
     keep = docs.columns if keep is None else keep
-    names = [f"_{c}" if c.lower() in ("n_shingles", "component_id", "n", "best") or c.startswith("__") else c for c in keep]
+    names = kept_names(keep, ("n_shingles", "component_id", "n", "best", "__doc", "__rid"))
     found = _components(docs, doc_id, text, width, percent, keep, names, wide)
     return found.select(
         *[f"`{n}`" for n in names], F.col("n").alias("n_shingles"),

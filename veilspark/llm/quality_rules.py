@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from veilspark.llm.frames import fresh
+from veilspark.llm.frames import fresh, kept_names
 from veilspark.sources.stage import staged
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -174,13 +174,12 @@ def quality_verdicts(docs: DataFrame, text: str = "text", keep: list[str] | None
 
     A null or empty text has no words and fails.  Rules are fitted on all rows;
     equal texts get equal results, an empty table an empty result.  Kept columns
-    called like a result are prefixed with an underscore.  No shuffle of texts:
+    called like a result get underscores in front until they differ.  No shuffle of texts:
     measures are staged without the text, and only counts of vote patterns (at
     most 3 to the number of rules) reach the driver.
     """
     keep = [c for c in docs.columns if c != text] if keep is None else keep
-    taken = {*MEASURES, "base_failed", "posterior", "kept", "m"}
-    names = [f"_{c}" if c.lower() in taken else c for c in keep]
+    names = kept_names(keep, (*MEASURES, "base_failed", "posterior", "kept", "m", "__text"))
     source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text}`").alias("__text"))
     measured = staged(with_measures(source, "__text", "m").drop("__text"))
     out, failed, posterior, _ = _judged(measured, "m")

@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from veilspark.llm.frames import fresh
+from veilspark.llm.frames import fresh, kept_names
 from veilspark.llm.words import (
     Words, buffers, mixed, row_blocks, signed, split_words, window_hashes,
 )
@@ -328,14 +328,13 @@ def remove_repeats(
     rows count, repeated rows too: each makes the other's windows recur.  A
     null or empty text has no words and keeps an empty string; texts shorter
     than the window are never touched.  A null id is allowed.  Kept columns
-    called like a result are prefixed with an underscore.
+    called like a result get underscores in front until they differ.
     """
     keep = [c for c in docs.columns if c != text] if keep is None else keep
-    taken = {"n_words", "n_removed", "kept", "__text", "runs", "k1", "k2"}
     runs = repeated_windows(docs, doc_id, text, window, hot)
     k1, k2, shard = fresh(docs, "__k1", "__k2", "__shard")
     keyed = _keyed(docs, doc_id, text, 1, (k1, k2, shard))
-    names = [f"_{c}" if c.lower() in taken else c for c in keep]
+    names = kept_names(keep, ("n_words", "n_removed", "kept", "__text", "runs", "k1", "k2"))
     left = keyed.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text}`").alias("__text"), F.col(k1).alias("k1"), F.col(k2).alias("k2"))
     joined = left.join(runs, ["k1", "k2"], "left").select(*[f"`{n}`" for n in names], "__text", "runs")
     schema = joined.drop("__text", "runs").schema.add("n_words", "long").add("n_removed", "long").add("kept", "string")

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from veilspark.llm.frames import text_slices
+from veilspark.llm.frames import kept_names, text_slices
 from veilspark.llm.segments import segments
 
 BATCH_BYTES = 262_144
@@ -97,14 +97,12 @@ def token_counts(
     segments are encoded once per worker; other models encode whole texts.
 
     A null text is an empty one: 0 bytes, 0 tokens.  Repeated rows give repeated
-    results, an empty table an empty result; further columns pass through, also
-    columns called like the results (those given are renamed with a leading
-    underscore by the caller's choice of ``keep``).  Map-only, no shuffle.
+    results, an empty table an empty result; further columns pass through, and
+    those called like a result get underscores in front until they differ.  Map-only, no shuffle.
     """
     keep = [c for c in docs.columns if c != text] if keep is None else keep
-    clash = {"n_bytes", "n_tokens", "over_limit"} & {c.lower() for c in keep}
-    source = docs.select(*[F.col(f"`{c}`").alias(f"_{c}" if c.lower() in clash else c) for c in keep], F.col(f"`{text}`").alias("__text"))
-    names = source.columns[:-1]
+    names = kept_names(keep, ("n_bytes", "n_tokens", "over_limit", "__text"))
+    source = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text}`").alias("__text"))
     schema = source.drop("__text").schema.add("n_bytes", "long").add("n_tokens", "long").add("over_limit", "boolean")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
