@@ -127,25 +127,24 @@ def _roots(plain: DataFrame) -> DataFrame:
     spark = plain.sparkSession
     alone = plain.filter("src = dst").select(F.col("src").alias("member"), F.col("src").alias("component_id"))
     now = plain.filter("src != dst").select(F.col("dst").alias("a"), F.col("src").alias("b"))
-    seen, last = None, None
+    seen, last = None, []
     while True:
         mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if mark["n"] == 0 or mark == seen:
             break
         seen = mark
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        paths = [stage_path(spark) for _ in range(3)]  # minima are read three times, so they are staged
+        least = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"), F.count("*").alias("n")), paths[0])
         up = _attached(both.filter("b > a"), "a", least, "n", 2 * mark["n"])
-        mid_path, path = stage_path(spark), stage_path(spark)
-        mid = staged(up.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct(), mid_path)
-        least = mid.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        mid = staged(up.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct(), paths[1])
+        least = staged(mid.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"), F.count("*").alias("n")), paths[2])
         down = _attached(mid, "a", least, "n", mark["n"]).filter("b != m")
         own = least.select(F.col("node").alias("a"), F.col("m").alias("b"))
-        now = staged(down.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(own).distinct(), path)
-        for old in (last, mid_path):
-            if old is not None:
-                drop_stage(spark, old)
-        last = path
+        now = staged(down.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(own).distinct(), path := stage_path(spark))
+        for old in [*paths, *last]:
+            drop_stage(spark, old)
+        last = [path]
     ends = now.select(F.col("a").alias("member"), F.col("b").alias("component_id"))
     heads = now.select(F.col("b").alias("member"), F.col("b").alias("component_id"))
     least = alone.unionByName(ends).unionByName(heads)

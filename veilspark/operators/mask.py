@@ -16,6 +16,10 @@ from veilspark.operators.gazetteer import Terms, attached
 from veilspark.sources.stage import staged
 
 SPAN_CHUNK = 64
+MANY_NAMES = 64
+# A run of capitalized words, and each two words in it that may hold a name between them.
+_RUN = r"[A-Z][a-z]+(?: [A-Z][a-z]+)++"
+_GAP = r"(?=([A-Z][a-z]+ [A-Z][a-z]))"
 
 
 def mask_spans(text: Column, spans: Column) -> Column:
@@ -124,19 +128,74 @@ def mask_patterns(text: Column) -> Column:
     return digits(emails, order[at + 1:])
 
 
-def mask_names(text: Column) -> Column:
-    """Replace every literal occurrence of each full name found in the text."""
+def _replaced(t: Column, names: Column) -> Column:
+    return F.aggregate(names, t, lambda acc, n: F.replace(acc, n, F.lit(K.MASK)))
 
-    def replaced(t: Column, names: Column) -> Column:
-        return F.aggregate(
-            F.array_distinct(names), t, lambda acc, n: F.replace(acc, n, F.lit(K.MASK))
+
+def _replaced_in_runs(t: Column, names: Column) -> Column:
+    """``_replaced`` for very many names, without a pass over the text for each.
+
+    A name lies within one run of capitalized words, and the mask holds no letter, so each
+    run can be masked by itself.  Of the names only those count whose first word and two
+    letters of the second one stand at a gap of the run; they are found in buckets by hash,
+    about as many as the root of the number of names, and replaced in their old order.
+    """
+    n_buckets = F.ceil(F.sqrt(F.size(names))).cast("int")
+
+    def number(key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), n_buckets)
+
+    def item(n: Column, i: Column) -> Column:
+        key = F.substring(n, F.lit(1), F.instr(n, " ") + 2)
+        return let(key, lambda k: F.struct(i.alias("i"), n.alias("name"), k.alias("key"), number(k).alias("at")))
+
+    def bucketed(items: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), n_buckets - 1), lambda b: F.filter(items, lambda x: x["at"] == b)
+        )
+
+    def run(r: Column, buckets: Column) -> Column:
+        gaps = F.array_distinct(F.regexp_extract_all(r, F.lit(_GAP), F.lit(1)))
+        met = F.transform(
+            gaps,
+            lambda g: F.filter(
+                F.get(buckets, number(g).cast("int")), lambda x: (x["key"] == g) & F.contains(r, x["name"])
+            ),
         )
+        # sorted by their place in the list of names
+        return _replaced(r, F.transform(F.array_sort(F.flatten(met)), lambda x: x["name"]))
+
+    def joined(buckets: Column) -> Column:
+        runs = F.regexp_extract_all(t, F.lit(_RUN), F.lit(0))
+        both = F.arrays_zip(
+            F.split(t, _RUN, -1).alias("before"), F.transform(runs, lambda r: run(r, buckets)).alias("run")
+        )
+        return F.array_join(
+            F.transform(both, lambda x: F.concat(x["before"], F.coalesce(x["run"], F.lit("")))), ""
+        )
+
+    return let(let(F.transform(names, item), bucketed), joined)
+
+
+def mask_names(text: Column) -> Column:
+    """Replace every literal occurrence of each full name found in the text, name after name.
+
+    Up to ``MANY_NAMES`` different names take one pass each; beyond that runs of
+    capitalized words are masked by themselves, with the same result.  Only a single run of
+    very many names still takes a pass over that run for each of its names.
+    """
+
+    def by_number(t: Column, names: Column) -> Column:
+        few = F.when(F.size(names) <= MANY_NAMES, _replaced(t, names))
+        return few.otherwise(_replaced_in_runs(t, names))
 
     return let(
         text,
         lambda t: let(
             F.regexp_extract_all(t, F.lit(detection_regex("name")), F.lit(0)),
-            lambda names: F.when(F.size(names) > 0, replaced(t, names)).otherwise(t),
+            lambda found: F.when(
+                F.size(found) > 0, let(F.array_distinct(found), lambda names: by_number(t, names))
+            ).otherwise(t),
         ),
     )
 
