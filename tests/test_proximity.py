@@ -95,6 +95,14 @@ def test_one_crowded_row(spark):
     assert band_pairs(detections(spark, data)).count() == 120 * 119 // 2
 
 
+def test_band_join_sends_no_side_through_the_driver(spark):
+    """A small scan may hold very many detections: neither side is collected and broadcast."""
+    data = {0: [("a", "name", 5, 9), ("b", "email", 12, 15)], 1: [("y", "name", 0, 3)]}
+    plan = band_pairs(detections(spark, data))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert [tuple(r) for r in band_pairs(detections(spark, data)).collect()] == [(0, 0, 1, "name", "email", 7)]
+
+
 def test_risk_rules(spark):
     three_medium = [("a", "email", 0, 3), ("b", "phone", 4, 6), ("c", "ssn", 8, 9)]
     two = [("a", "email", 0, 3), ("b", "phone", 4, 6)]

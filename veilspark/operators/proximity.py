@@ -154,6 +154,8 @@ def band_pairs(detections: DataFrame, window: int = K.WINDOW) -> DataFrame:
 
     For detections that come from elsewhere.  Both sides share the equi key
     (row, bucket), so one row with very many entities spreads over its buckets.
+    Both are shuffled: a scan says little of how much is detected in it, and a side
+    taken for small by the size of its scan would go whole through the driver.
     """
     width = window + 1
     bucket = F.floor(F.col("start") / width).cast("long")
@@ -174,7 +176,7 @@ def band_pairs(detections: DataFrame, window: int = K.WINDOW) -> DataFrame:
     )
     distance = F.abs(F.col("start1") - F.col("start2"))
     return (
-        left.join(right, ["row_id", "bucket"])
+        left.hint("merge").join(right.hint("merge"), ["row_id", "bucket"])
         .filter((F.col("ord1") < F.col("ord2")) & (distance <= window))
         .select("row_id", "ord1", "ord2", "type1", "type2", distance.alias("distance"))
     )
