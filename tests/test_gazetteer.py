@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from veilspark.operators import risk
+from veilspark.operators.cells import cells
 from veilspark.operators.detect import detect
 from veilspark.operators.gazetteer import (
-    MAX_GAP, _table, gazetteer_entities, measured, rows_of, term_hits, with_gazetteer,
+    MAX_GAP, _runs, _table, gazetteer_entities, measured, rows_of, term_hits, with_gazetteer,
 )
 from veilspark.operators.keyfilter import key_test
 from veilspark.operators.mask import mask, mask_detections
@@ -55,6 +56,20 @@ def test_large_dictionary_path_is_the_same(found):
     assert sorted(found(broadcast_terms=0).collect()) == sorted(found().collect())
 
 
+def test_only_runs_that_are_terms_leave_the_task(spark, texts):
+    """A long term that begins with a frequent word does not multiply the text."""
+    long = " ".join(["the", *[f"w{i}" for i in range(60)]])
+    terms = measured(spark.createDataFrame([(long, "ORG"), ("the end", "GPE")], "term string, label string"), 0)
+    said = " ".join(["the cat sat by"] * 300)
+    df = texts([f"{said} the end", f"{long} {said}", ""])
+    runs = _runs(cells(df, "id"), terms)
+    assert runs.count() < 50
+    cut = _runs(cells(df, "id"), terms, most_chars=1)
+    assert sorted(cut.collect()) == sorted(runs.collect())
+    got = sorted((r.row_id, r.text, r.label) for r in gazetteer_entities(df, "id", terms).collect())
+    assert got == [(0, "the end", "GPE"), (1, long, "ORG")]
+
+
 def test_dictionary_wins_and_order_is_kept(found, texts):
     df = texts(TEXTS)
     both = with_gazetteer(detect(df, "id"), found())

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from veilspark import constants as K
 from veilspark.functions.arrays import lookup
 from veilspark.operators.cells import _named, cells, row_text
-from veilspark.operators.keyfilter import in_bitmap, key_test, word_bitmap
+from veilspark.operators.keyfilter import crc_bitmap, in_bitmap, key_test
 from veilspark.sources.stage import staged
 
 TOKEN = r"[\p{L}\p{N}_]+"
@@ -28,6 +28,7 @@ MAX_GAP = 3
 BROADCAST_TERMS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
+RUN_CHARS = 4_000_000
 LABELS = [*K.MODEL_LABELS, *K.OWN_LABELS]
 HITS_DDL = "array<struct<text:string,label:string,start:int,end:int>>"
 
@@ -134,37 +135,73 @@ def row_tagger(terms: Terms) -> Callable[[Column], Column]:
 # --- a dictionary too large for that ----------------------------------------------------
 
 
-def _runs(texts: DataFrame, terms: Terms) -> DataFrame:
-    """Runs of 1..longest words that begin with a first word of some term, as
-    (row_id, col_idx, column, start, end, text, norm); a bitmap decides, so a few others pass."""
-    heads = terms.frame.select(F.substring_index("norm", " ", 1).alias("word")).distinct()
-    bitmap = texts.sparkSession.sparkContext.broadcast(word_bitmap(heads))
+def _term_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """CRC-32 of the beginnings of every term, word by word; ``whole`` marks the term itself."""
+    for batch in batches:
+        for norm in batch.column(0).to_pylist():
+            hashes, words = [], norm.split(" ")
+            for word in words:
+                hashes.append(zlib.crc32(f" {word}".encode(), hashes[-1]) if hashes else zlib.crc32(word.encode()))
+            whole = [False] * (len(words) - 1) + [True]
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(whole)], names=["crc", "whole"])
+
+
+def _runs(texts: DataFrame, terms: Terms, most_chars: int = RUN_CHARS) -> DataFrame:
+    """Runs of words that are a term, as (row_id, col_idx, column, start, end, text, norm).
+
+    A run grows word by word while it begins like some term and is given out where it is
+    one; two bitmaps decide, so a few others pass.  At most ``most_chars`` characters of
+    runs (or one run) are held at a time.
+    """
+    hashes = terms.frame.select("norm").mapInArrow(_term_hashes, "crc long, whole boolean")
+    known = staged(hashes.groupBy("crc").agg(F.max("whole").alias("whole")))
+    maps = crc_bitmap(known), crc_bitmap(known.filter("whole"))
+    sent = texts.sparkSession.sparkContext.broadcast(maps)
     longest = terms.longest
     key = texts.schema["row_id"]
+    types = (pa.int32(), pa.int32(), pa.string(), pa.string())
+
+    def found_in(text: str) -> Iterator[tuple[int, int, str, str]]:
+        begins, wholes = sent.value
+        found = list(_WORD.finditer(text))
+        words = [m.group() for m in found]
+        coded = [w.encode() for w in words]
+        for i, word in enumerate(coded):
+            crc = zlib.crc32(word)
+            for n in range(1, min(longest, len(words) - i) + 1):
+                if n > 1:
+                    if found[i + n - 1].start() - found[i + n - 2].end() > MAX_GAP:
+                        break
+                    crc = zlib.crc32(coded[i + n - 1], zlib.crc32(b" ", crc))
+                if not in_bitmap(begins, crc):
+                    break
+                if in_bitmap(wholes, crc):
+                    start, end = found[i].start(), found[i + n - 1].end()
+                    yield start, end, text[start:end], " ".join(words[i : i + n])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[int] = []
             out: list[tuple[int, int, str, str]] = []
-            for row, text in enumerate(batch.column(3).to_pylist()):
-                found = list(_WORD.finditer(text))
-                words = [m.group() for m in found]
-                for i, word in enumerate(words):
-                    if not in_bitmap(bitmap.value, zlib.crc32(word.encode())):
-                        continue
-                    for n in range(1, min(longest, len(words) - i) + 1):
-                        if n > 1 and found[i + n - 1].start() - found[i + n - 2].end() > MAX_GAP:
-                            break
-                        start, end = found[i].start(), found[i + n - 1].end()
-                        rows.append(row)
-                        out.append((start, end, text[start:end], " ".join(words[i : i + n])))
-            taken = batch.select([0, 1, 2]).take(pa.array(rows, pa.int64()))
-            columns = list(zip(*out, strict=True)) or [(), (), (), ()]
-            types = (pa.int32(), pa.int32(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [*taken.columns, *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]],
-                names=["row_id", "col_idx", "column", "start", "end", "text", "norm"],
-            )
+            held = 0
+
+            def packed() -> pa.RecordBatch:
+                taken = batch.select([0, 1, 2]).take(pa.array(rows, pa.int64()))
+                columns = list(zip(*out, strict=True)) or [(), (), (), ()]
+                return pa.RecordBatch.from_arrays(
+                    [*taken.columns, *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]],
+                    names=["row_id", "col_idx", "column", "start", "end", "text", "norm"],
+                )
+
+            for row, text in enumerate(batch.column(3)):
+                for run in found_in(text.as_py()):
+                    rows.append(row)
+                    out.append(run)
+                    held += len(run[2]) + len(run[3])
+                    if held >= most_chars:
+                        yield packed()
+                        rows, out, held = [], [], 0
+            yield packed()
 
     schema = f"row_id {key.dataType.simpleString()}, col_idx int, column string, start int, end int, text string, norm string"
     return texts.mapInArrow(task, schema)
@@ -202,8 +239,8 @@ def gazetteer_entities(
     """Every dictionary term found in the text cells, with offsets.
 
     Up to ``broadcast_terms`` terms and ``BROADCAST_BYTES`` the dictionary is sent to
-    the tasks and nothing moves; beyond it only runs of words that begin like a term
-    (a bitmap of first words decides) are shuffled, with their keys and offsets.
+    the tasks and nothing moves; beyond it only runs of words that are a term (bitmaps
+    of all beginnings and of whole terms decide) are shuffled, with their keys and offsets.
     """
     hits = _hits(df, key, measured(dictionary, broadcast_terms), columns)
     return hits.select(

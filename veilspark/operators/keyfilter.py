@@ -21,12 +21,12 @@ def _bits(n: int, most: int) -> int:
     return bits
 
 
-def word_bitmap(words: DataFrame, most_bits: int = MOST_BITS) -> bytes:
-    """Bitmap of the CRC-32 of the column ``word``, for Python tasks (16 MB at most)."""
-    bits = _bits(words.count(), most_bits)
-    place = F.crc32(F.encode("word", "utf-8")).bitwiseAND(bits - 1)
+def crc_bitmap(hashes: DataFrame, most_bits: int = MOST_BITS) -> bytes:
+    """Bitmap of the CRC-32 values in the column ``crc``, for Python tasks (16 MB at most)."""
+    bits = _bits(hashes.count(), most_bits)
+    place = F.col("crc").bitwiseAND(bits - 1)
     parts = (
-        words.select(F.shiftright(place, 15).alias("part"), (place % _PART).alias("place"))
+        hashes.select(F.shiftright(place, 15).alias("part"), (place % _PART).alias("place"))
         .groupBy("part")
         .agg(F.bitmap_construct_agg("place").alias("bits"))
         .collect()
@@ -38,6 +38,11 @@ def word_bitmap(words: DataFrame, most_bits: int = MOST_BITS) -> bytes:
     return bytes(out)
 
 
+def word_bitmap(words: DataFrame, most_bits: int = MOST_BITS) -> bytes:
+    """``crc_bitmap`` of the column ``word``."""
+    return crc_bitmap(words.select(F.crc32(F.encode("word", "utf-8")).alias("crc")), most_bits)
+
+
 def in_bitmap(bitmap: bytes, crc: int) -> bool:
     place = crc & (len(bitmap) * 8 - 1)
     return bool(bitmap[place >> 3] >> (place & 7) & 1)
