@@ -110,3 +110,27 @@ def test_cases(spark, docs):
     clean = L.without_repeated_lines(df)
     assert clean.columns == df.columns and sorted(str(r.doc_id) for r in clean.collect()) == ["4", "6", "None"]
     assert L.line_report(df.limit(0)).count() == 0 and L.without_repeated_lines(df.limit(0)).count() == 0
+
+
+def test_large_buckets_lose_no_pair(spark):
+    """Pairs away from the hubs of a bucket are linked too, whatever the size of a tile."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
+    base = [[word() for _ in range(20)] for _ in range(30)]
+    lines = [" ".join(w) for w in base] + [" ".join([*w[:-1], word()]) for w in base]
+    texts = spark.createDataFrame([(x,) for x in lines], "text string")
+    ids = [r.id for r in L._lines(texts).collect()]
+    signed = spark.createDataFrame([(i, [1]) for i in ids], "id long, bands array<long>")
+    met = L.buckets(signed)
+    none = spark.createDataFrame([], "node long, root long")
+    hubs = {tuple(r) for r in L.hub_pairs(met).collect()}
+    for tile in (3, 1000):
+        rest = [tuple(r) for r in L.open_pairs(met, none, tile).collect()]
+        assert len(rest) == len(set(rest)) and not hubs & set(rest)
+        assert hubs | set(rest) == {(a, b) for a in ids for b in ids if a < b}
+    found = L.groups(texts, signed, 0.8)
+    of = {r.node: r.root for r in found.collect()}
+    assert all(of[ids[k]] == of[ids[k + 30]] == min(ids[k], ids[k + 30]) for k in range(30))
+    joined = L.open_pairs(met, found)
+    assert joined.filter("a = b").isEmpty()
+    assert not {tuple(sorted((ids[k], ids[k + 30]))) for k in range(30)} & {tuple(r) for r in joined.collect()}

@@ -7,7 +7,7 @@ are very long (scripts without spaces), where every shingle counts.  The two
 ranges overlap, so lines alike enough to link share a kind.  Bands of equal
 minima give candidates, each is compared with the hubs of its bucket on the exact
 Jaccard similarity of all 5-character shingles, and links are closed by a
-distributed union-find.
+distributed union-find.  Pairs of a bucket that this leaves apart are compared too.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ BANDS = [*[(4 * r, 4 * r + 1, 4 * r + 2, 4 * r + 3) for r in range(4)], *[(c, c
 SHINGLE = 5
 SHORT = 160
 BROADCAST_ROWS = 1_000_000
+TILE = 2_000
 _rnd = random.Random(20240607)
 _MASKS = [_rnd.getrandbits(31) for _ in range(MINIMA)]
 _EVERY = rf"(?s)(?=(.{{{SHINGLE}}}))"
@@ -65,27 +66,64 @@ def signatures(texts: DataFrame) -> DataFrame:
     return minima.select("id", F.array(*bands).alias("bands"))
 
 
-def candidates(signed: DataFrame) -> DataFrame:
-    """``a, b``: every line of a bucket with the bucket's hubs, its smallest ids
-    under a few orders; several hubs, as lines alike to one need not be alike to
-    another.  Never more pairs than lines times hubs.  Buckets are counted first,
-    so only lines that meet another move further."""
+def buckets(signed: DataFrame) -> DataFrame:
+    """``band, id`` of the bands that several lines share.  Bands are counted first, so
+    only lines that meet another move further."""
     rows = signed.select(F.explode("bands").alias("band"), "id")
     shared = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    met = staged(rows.join(shared, "band"))
+    return staged(rows.join(shared, "band"))
+
+
+def _with_hubs(met: DataFrame) -> DataFrame:
     least = [F.min(F.col("id").bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)) for m in _HUBS]
-    hubs = met.groupBy("band").agg(F.array_distinct(F.array(*least)).alias("hubs"))
-    both = met.join(hubs, "band").select("id", F.explode("hubs").alias("hub")).filter("id != hub")
+    return met.join(met.groupBy("band").agg(F.array_distinct(F.array(*least)).alias("hubs")), "band")
+
+
+def hub_pairs(met: DataFrame) -> DataFrame:
+    """``a, b``: every line of a bucket with the bucket's hubs, its smallest ids under a
+    few orders.  Never more pairs than lines times hubs; ``open_pairs`` has the others."""
+    both = _with_hubs(met).select("id", F.explode("hubs").alias("hub")).filter("id != hub")
     return both.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
 
-def verified(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
-    """The pairs whose lines have a Jaccard similarity of at least ``least`` over
-    all their character shingles (a shorter line is one shingle)."""
-    pairs = staged(pairs)
+def open_pairs(met: DataFrame, roots: DataFrame, tile: int = TILE) -> DataFrame:
+    """``a, b``: all pairs of a bucket without its hubs that ``roots`` does not join yet.
+
+    Lines alike to one hub need not be alike to another, so none of these may be left
+    out; pairs within one component change nothing.  A large bucket is cut into tiles
+    and compared tile by tile, so no task holds it whole.
+    """
+    rest = _with_hubs(met).filter(~F.array_contains("hubs", F.col("id"))).select("band", "id")
+    named = staged(rest.join(roots, rest["id"] == roots["node"], "left").select("band", "id", F.coalesce("root", "id").alias("root")))
+    sizes = named.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    mixed = sizes.filter("lo != hi").select("band", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    cut = named.join(mixed, "band").withColumn("t", F.pmod(F.xxhash64("id"), "tiles").cast("int"))
+    left = cut.select("band", F.col("t").alias("i"), F.explode(F.sequence("t", F.col("tiles") - 1)).alias("j"), F.col("id").alias("a"), F.col("root").alias("ra"))
+    right = cut.select("band", F.explode(F.sequence(F.lit(0), "t")).alias("i"), F.col("t").alias("j"), F.col("id").alias("b"), F.col("root").alias("rb"))
+    both = left.hint("merge").join(right.hint("merge"), ["band", "i", "j"]).filter("ra != rb and (i != j or a < b)")
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def candidates(signed: DataFrame) -> DataFrame:
+    """``a, b``: all pairs of lines that share a band; ``groups`` leaves out what it need not compare."""
+    met = buckets(signed)
+    none = met.sparkSession.createDataFrame([], "node long, root long")
+    return hub_pairs(met).union(open_pairs(met, none)).distinct()
+
+
+def _wanted_lines(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``id, line`` of the lines in ``pairs``."""
     wanted = staged(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     right = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    lines = staged(_lines(texts).join(right, "id").groupBy("id", "line").count().select("id", "line"))
+    return staged(_lines(texts).join(right, "id").groupBy("id", "line").count().select("id", "line"))
+
+
+def verified(texts: DataFrame, pairs: DataFrame, least: float, lines: DataFrame | None = None) -> DataFrame:
+    """The pairs whose lines have a Jaccard similarity of at least ``least`` over
+    all their character shingles (a shorter line is one shingle).  ``lines`` may
+    hold the lines of all pairs (``id, line``)."""
+    pairs = staged(pairs)
+    lines = _wanted_lines(texts, pairs) if lines is None else lines
 
     def shingles(line: str) -> Column:
         return F.when(F.length(line) < SHINGLE, F.array(line)).otherwise(
@@ -104,6 +142,22 @@ def verified(texts: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
     return joined.filter(let(F.struct(shingles("la").alias("a"), shingles("lb").alias("b")), alike)).select("a", "b")
 
 
+def groups(texts: DataFrame, signed: DataFrame, least: float) -> DataFrame:
+    """``node, root`` of all lines linked with another.
+
+    Lines are first compared with the hubs of their buckets and closed under these
+    links; then all pairs of a bucket that are still apart are compared.
+    """
+    met = buckets(signed)
+    pairs = staged(hub_pairs(met))
+    lines = _wanted_lines(texts, pairs)  # each line of a bucket is in a pair with a hub
+    roots = staged(connected(verified(texts, pairs, least, lines)))
+    more = staged(verified(texts, open_pairs(met, roots), least, lines))
+    if more.isEmpty():
+        return roots
+    return connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+
+
 def _removed(docs: DataFrame, doc_id: str, text: str, keep: list[str], names: list[str], least: float) -> DataFrame:
     """Kept columns with ``ids`` and ``gone``, the sorted numbers of removed lines."""
     rows = staged(docs.select(
@@ -111,8 +165,7 @@ def _removed(docs: DataFrame, doc_id: str, text: str, keep: list[str], names: li
         F.monotonically_increasing_id().alias("__rid"), line_ids(F.col(f"`{text}`")).alias("ids"),
     ))
     texts = docs.select(F.col(f"`{text}`").alias("text"))
-    links = verified(texts, candidates(staged(signatures(texts))), least)
-    roots = connected(links)
+    roots = groups(texts, staged(signatures(texts)), least)
     seen = rows.select(F.posexplode("ids").alias("at", "id"), "__doc", "__rid").filter("id is not null")
     spot = F.struct(F.col("__doc").isNull().alias("no_id"), F.col("__doc").alias("doc"), F.col("__rid").alias("rid"), F.col("at").alias("at"))
     first = seen.groupBy("id").agg(F.min(spot).alias("best"), F.count("*").alias("n"))
