@@ -185,3 +185,18 @@ def test_top_subgraph(make):
 def test_unknown_measure(make):
     with pytest.raises(ValueError):
         G.top_central(make({0: [("a", "name", 0, 3)]}), "pagerank")
+
+
+def test_whole_edge_list_is_written_compressed(spark, tmp_path):
+    """The whole edge list is written compressed and read back whole."""
+    from veilspark.operators.detect import entity_rows
+    from veilspark.operators.graph import graph_edges, graph_rows
+    from veilspark.sources.exports import export_graph
+
+    df = spark.createDataFrame([(1, "a@b.example and c@d.example, call 0161-555-0199")], "row_id long, t string")
+    graph = graph_rows(entity_rows(df, "row_id"))
+    spread = graph_edges(graph)
+    export_graph(graph, f"{tmp_path}/g", expanded=True)
+    names = [p.name for p in (tmp_path / "g" / "edges").iterdir() if p.name.startswith("part-")]
+    assert names and all(n.endswith(".json.gz") for n in names)
+    assert spark.read.json(f"{tmp_path}/g/edges").count() == spread.count()

@@ -19,6 +19,7 @@ from veilspark.operators.ranking import ranked
 
 EDGE_TILE = 128
 BROADCAST_NODES = 10_000
+_EDGE_FIELDS = ("node_id", "kind", "start", "weight", "code", "self_loop", "other_type")
 
 
 def weight_of(type_: Column) -> Column:
@@ -183,9 +184,9 @@ def graph_edges(
             )
         )
 
-    spread = graph.select("row_id", F.inline(tiles(F.col("nodes")))).repartition(
-        "row_id", "i", "j"
-    )
+    # only what an edge is made of is moved
+    slim = F.transform("nodes", lambda n: F.struct(*[n[f].alias(f) for f in _EDGE_FIELDS]))
+    spread = graph.select("row_id", F.inline(let(slim, tiles))).repartition("row_id", "i", "j")
 
     def between(a: Column, others: Column) -> Column:
         return F.transform(others, lambda b: _edge(a, b, window, with_proximity))

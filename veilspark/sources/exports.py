@@ -72,7 +72,8 @@ def export_graph(graph: DataFrame, path: str, window: int = K.WINDOW, expanded:
     ``nodes`` and ``metadata``; ``edges`` holds the edges with a weight of their own, and
     ``cliques`` one record per row for all others: each two nodes of the row that have no
     edge in ``edges`` are linked with the weight of their pair of types.  ``expanded=True``
-    writes every edge into ``edges`` instead, and no ``cliques``.
+    writes every edge into ``edges`` instead, and no ``cliques``; this list is quadratic in
+    a row's nodes and repeats their ids, so it is written as gzipped JSON.
     """
     parts = {"nodes": export_nodes(graph), "metadata": export_metadata(graph, window)}
     if expanded:
@@ -82,4 +83,5 @@ def export_graph(graph: DataFrame, path: str, window: int = K.WINDOW, expanded:
         parts["edges"] = export_own_edges(compact)
         parts["cliques"] = export_cliques(compact)
     for name, frame in parts.items():
-        frame.write.mode("overwrite").json(f"{path}/{name}")
+        packed = "gzip" if expanded and name == "edges" else "none"
+        frame.write.mode("overwrite").option("compression", packed).json(f"{path}/{name}")
