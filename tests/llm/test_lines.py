@@ -134,3 +134,28 @@ def test_large_buckets_lose_no_pair(spark):
     joined = L.open_pairs(met, found)
     assert joined.filter("a = b").isEmpty()
     assert not {tuple(sorted((ids[k], ids[k + 30]))) for k in range(30)} & {tuple(r) for r in joined.collect()}
+
+
+def test_sketches_spare_hopeless_pairs_and_lose_none(spark):
+    """In one bucket of lines with a common half, only pairs that can be alike meet with their texts."""
+    rnd = random.Random(17)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
+    half = [word() for _ in range(12)]
+    lines = [" ".join(half + [word() for _ in range(12)]) for _ in range(120)]
+    lines += [x[:-k] + "zz" for k, x in enumerate(lines[:40], 1)] + ["ab", "abcd", "ba " * 40, "aba " * 30]
+    texts = spark.createDataFrame([(x,) for x in lines], "text string")
+    found = L._lines(texts)
+    text_of = {r.id: r.line for r in found.collect()}
+    met = L.buckets(spark.createDataFrame([(i, [1]) for i in text_of], "id long, bands array<long>"))
+    none = spark.createDataFrame([], "node long, root long")
+    sketch = L.sketches(found)
+    sizes = {r.id: r for r in sketch.collect()}
+    assert all(sizes[i].n == len(shingles(t)) and sizes[i].spare >= 0 for i, t in text_of.items())
+    every = {tuple(r) for r in L.open_pairs(met, none).collect()}
+    alike = {(a, b) for a, b in every if len(shingles(text_of[a]) & shingles(text_of[b])) >= 0.8 * len(shingles(text_of[a]) | shingles(text_of[b]))}
+    assert len(alike) > 10
+    for tile in (7, 1000):
+        left = {tuple(r) for r in L.open_pairs(met, none, tile, sketch, 0.8).collect()}
+        assert alike <= left and len(left) < 0.02 * len(every)
+    pairs = spark.createDataFrame(sorted(every), "a long, b long")
+    assert {tuple(r) for r in L.reachable(pairs, sketch, 0.8).collect()} == left

@@ -8,6 +8,8 @@ ranges overlap, so lines alike enough to link share a kind.  Bands of equal
 minima give candidates, each is compared with the hubs of its bucket on the exact
 Jaccard similarity of all 5-character shingles, and links are closed by a
 distributed union-find.  Pairs of a bucket that this leaves apart are compared too.
+A bitmap of each line's shingles bounds the similarity from above, so the texts of a
+pair meet only where the bound allows a link.
 """
 
 from __future__ import annotations
@@ -28,11 +30,14 @@ BANDS = [*[(4 * r, 4 * r + 1, 4 * r + 2, 4 * r + 3) for r in range(4)], *[(c, c
 SHINGLE = 5
 SHORT = 160
 BROADCAST_ROWS = 1_000_000
-TILE = 2_000
+TILE = 500
 _rnd = random.Random(20240607)
 _MASKS = [_rnd.getrandbits(31) for _ in range(MINIMA)]
+# a word, the space behind it and the next word, from every start of a word
+_STARTS = r"(?!\z)(?=([^ ]*(?: [^ ]*)?))[^ ]* ?"
 _EVERY = rf"(?s)(?=(.{{{SHINGLE}}}))"
 _HUBS = [0, -1, _rnd.getrandbits(62), _rnd.getrandbits(62)]
+WORDS = 32  # of 64 bits, in a line's bitmap
 
 
 def line_ids(text: Column) -> Column:
@@ -52,12 +57,12 @@ def signatures(texts: DataFrame) -> DataFrame:
     so texts do not move and a line's copies meet as one row a task."""
     size = F.length("line")
     every = F.when(size < SHINGLE, F.array("line")).otherwise(F.regexp_extract_all("line", F.lit(_EVERY), F.lit(1)))
-    words = F.split("line", " ")
+    words = size - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     # a word and the next one; the shingle is cut from their start below
-    starts = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
+    starts = F.regexp_extract_all("line", F.lit(_STARTS), F.lit(1))
     kinds = F.array(
-        F.struct(F.lit(0).alias("kind"), F.when((size <= SHORT) | (size > 12 * F.size(words)), every).alias("of")),
-        F.struct(F.lit(1).alias("kind"), F.when((size >= 0.8 * SHORT) & (size < 18 * F.size(words)), starts).alias("of")),
+        F.struct(F.lit(0).alias("kind"), F.when((size <= SHORT) | (size > 12 * words), every).alias("of")),
+        F.struct(F.lit(1).alias("kind"), F.when((size >= 0.8 * SHORT) & (size < 18 * words), starts).alias("of")),
     )
     both = _lines(texts).select("id", F.explode(kinds).alias("k")).select("id", "k.kind", F.explode("k.of").alias("s"))
     hashed = both.select("id", "kind", F.shiftrightunsigned(F.xxhash64(F.substring("s", 1, 8)), 33).cast("int").alias("v"))
@@ -86,8 +91,47 @@ def hub_pairs(met: DataFrame) -> DataFrame:
     return both.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
 
-def open_pairs(met: DataFrame, roots: DataFrame, tile: int = TILE) -> DataFrame:
-    """``a, b``: all pairs of a bucket without its hubs that ``roots`` does not join yet.
+def _total(terms: list[Column]) -> Column:
+    """Their sum, as a flat tree."""
+    while len(terms) > 1:
+        terms = [sum(terms[i + 1 : i + 2], terms[i]) for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
+def sketches(lines: DataFrame) -> DataFrame:
+    """``id, n, spare, w0 ...``: the number of different shingles of a line, a bitmap of their
+    hashes, and how many shingles more than bits it has.  Staged, as the optimizer would try
+    all subsets of the words where it sees how ``spare`` is made of them."""
+    hashed = lines.select("id", F.explode(_shingles("line")).alias("s")).select("id", F.xxhash64("s").alias("h"))
+    bit = F.expr("shiftleft(1L, cast(pmod(shiftright(h, 8), 64) as int))")
+    placed = hashed.select("id", F.pmod("h", F.lit(WORDS)).alias("word"), bit.alias("bit"))
+    names = [f"w{k}" for k in range(WORDS)]
+    words = [F.bit_or(F.when(F.col("word") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(w) for k, w in enumerate(names)]
+    found = placed.groupBy("id").agg(F.count("*").alias("n"), *words)
+    return staged(found.select("id", "n", (F.col("n") - _total([F.bit_count(w) for w in names])).alias("spare"), *names))
+
+
+def _sketch_of(sketch: DataFrame, side: str) -> DataFrame:
+    return sketch.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in sketch.columns if c != "id"])
+
+
+def _within_reach(least: float) -> Column:
+    """Whether two lines can be alike: a bit that only one line has set is a shingle that the
+    other one lacks, so shared bits and spare shingles bound the intersection."""
+    shared = _total([F.bit_count(F.col(f"a_w{k}").bitwiseAND(F.col(f"b_w{k}"))) for k in range(WORDS)])
+    most = shared + F.least("a_spare", "b_spare")
+    return (1 + least) * most >= least * (F.col("a_n") + F.col("b_n")) - 1e-6
+
+
+def reachable(pairs: DataFrame, sketch: DataFrame, least: float) -> DataFrame:
+    """The pairs whose sketches do not rule out a similarity of ``least``."""
+    both = pairs.join(_sketch_of(sketch, "a"), "a").join(_sketch_of(sketch, "b"), "b")
+    return both.filter(_within_reach(least)).select("a", "b")
+
+
+def open_pairs(met: DataFrame, roots: DataFrame, tile: int = TILE, sketch: DataFrame | None = None, least: float = 0.0) -> DataFrame:
+    """``a, b``: all pairs of a bucket without its hubs that ``roots`` does not join yet
+    and that ``sketch``, if given, does not rule out.
 
     Lines alike to one hub need not be alike to another, so none of these may be left
     out; pairs within one component change nothing.  A large bucket is cut into tiles
@@ -98,9 +142,13 @@ def open_pairs(met: DataFrame, roots: DataFrame, tile: int = TILE) -> DataFrame:
     sizes = named.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     mixed = sizes.filter("lo != hi").select("band", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
     cut = named.join(mixed, "band").withColumn("t", F.pmod(F.xxhash64("id"), "tiles").cast("int"))
+    test = F.expr("ra != rb and (i != j or a < b)")
     left = cut.select("band", F.col("t").alias("i"), F.explode(F.sequence("t", F.col("tiles") - 1)).alias("j"), F.col("id").alias("a"), F.col("root").alias("ra"))
     right = cut.select("band", F.explode(F.sequence(F.lit(0), "t")).alias("i"), F.col("t").alias("j"), F.col("id").alias("b"), F.col("root").alias("rb"))
-    both = left.hint("merge").join(right.hint("merge"), ["band", "i", "j"]).filter("ra != rb and (i != j or a < b)")
+    if sketch is not None:
+        left, right = left.join(_sketch_of(sketch, "a"), "a"), right.join(_sketch_of(sketch, "b"), "b")
+        test = test & _within_reach(least)
+    both = left.hint("merge").join(right.hint("merge"), ["band", "i", "j"]).filter(test)
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -118,6 +166,12 @@ def _wanted_lines(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return staged(_lines(texts).join(right, "id").groupBy("id", "line").count().select("id", "line"))
 
 
+def _shingles(line: str) -> Column:
+    return F.when(F.length(line) < SHINGLE, F.array(line)).otherwise(
+        F.array_distinct(F.regexp_extract_all(line, F.lit(_EVERY), F.lit(1)))
+    )
+
+
 def verified(texts: DataFrame, pairs: DataFrame, least: float, lines: DataFrame | None = None) -> DataFrame:
     """The pairs whose lines have a Jaccard similarity of at least ``least`` over
     all their character shingles (a shorter line is one shingle).  ``lines`` may
@@ -125,11 +179,6 @@ def verified(texts: DataFrame, pairs: DataFrame, least: float, lines: DataFrame
     pairs = staged(pairs)
     lines = _wanted_lines(texts, pairs) if lines is None else lines
 
-    def shingles(line: str) -> Column:
-        return F.when(F.length(line) < SHINGLE, F.array(line)).otherwise(
-            F.array_distinct(F.regexp_extract_all(line, F.lit(_EVERY), F.lit(1)))
-        )
-
     joined = pairs.join(lines.select(F.col("id").alias("a"), F.col("line").alias("la")), "a").join(
         lines.select(F.col("id").alias("b"), F.col("line").alias("lb")), "b"
     )
@@ -139,7 +188,7 @@ def verified(texts: DataFrame, pairs: DataFrame, least: float, lines: DataFrame
         return let(both, lambda n: n >= least * (F.size(x["a"]) + F.size(x["b"]) - n))
 
     # bound to a lambda variable, or each set would be built several times
-    return joined.filter(let(F.struct(shingles("la").alias("a"), shingles("lb").alias("b")), alike)).select("a", "b")
+    return joined.filter(let(F.struct(_shingles("la").alias("a"), _shingles("lb").alias("b")), alike)).select("a", "b")
 
 
 def groups(texts: DataFrame, signed: DataFrame, least: float) -> DataFrame:
@@ -151,8 +200,9 @@ def groups(texts: DataFrame, signed: DataFrame, least: float) -> DataFrame:
     met = buckets(signed)
     pairs = staged(hub_pairs(met))
     lines = _wanted_lines(texts, pairs)  # each line of a bucket is in a pair with a hub
-    roots = staged(connected(verified(texts, pairs, least, lines)))
-    more = staged(verified(texts, open_pairs(met, roots), least, lines))
+    sketch = sketches(lines)
+    roots = staged(connected(verified(texts, reachable(pairs, sketch, least), least, lines)))
+    more = staged(verified(texts, open_pairs(met, roots, sketch=sketch, least=least), least, lines))
     if more.isEmpty():
         return roots
     return connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
