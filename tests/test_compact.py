@@ -51,3 +51,23 @@ def test_empty_and_single(spark):
     assert (len(row["members"]), row["own"], row["links"]) == (1, [], [])
     assert tuple(C.compact_totals(C.graph_compact(graph.filter("false"))).first()) == (0, 0, 0.0)
     assert C.expand(C.graph_compact(graph)).count() == 0
+
+
+def test_export_builds_the_compact_graph_once(spark, tmp_path, monkeypatch):
+    """Own edges and cliques are read from one staged pass, which is gone afterwards."""
+    from veilspark.operators.detect import entity_rows
+    from veilspark.operators.graph import graph_rows
+    from veilspark.sources import exports
+
+    df = spark.createDataFrame([(1, "Mary Smith, 10001, mary@smith.org and Bob Miller"), (2, "nothing")], "id long, t string")
+    seen, own_edges = [], exports.export_own_edges
+
+    def watched(compact):
+        seen.append(compact.inputFiles())
+        return own_edges(compact)
+
+    monkeypatch.setattr(exports, "export_own_edges", watched)
+    exports.export_graph(graph_rows(entity_rows(df, "id")), str(tmp_path / "graph"))
+    assert len(seen) == 1 and seen[0] and all("_scan-" in f for f in seen[0])
+    assert sorted(p.name for p in (tmp_path / "graph").iterdir()) == ["cliques", "edges", "metadata", "nodes"]
+    assert spark.read.json(str(tmp_path / "graph/cliques")).first()["size"] == 4

@@ -65,7 +65,7 @@ def _type_pairs(nodes: Column, own: Column) -> Column:
             plain = F.size(F.filter(e, lambda x: x["src"] != x["dst"]))
             n = pairs.cast("long") - plain
             ends = [F.struct(c["type"].alias("type"), F.lit(1).alias("kind"), F.lit(0).alias("start"), F.lit("").alias("node_id"),
-                             weight_of(c["type"]).alias("weight"), type_code(c["type"]).alias("code")) for c in (c1, c2)]
+                             c["weight"].alias("weight"), c["code"].alias("code")) for c in (c1, c2)]
             each = let(ends[0], lambda a: let(ends[1], lambda b: _edge(a, b, K.WINDOW, False)["weight"]))
             return F.struct(
                 c1["type"].alias("type1"), c2["type"].alias("type2"), n.alias("n_plain"), each.alias("plain_weight"),
@@ -80,7 +80,10 @@ def _type_pairs(nodes: Column, own: Column) -> Column:
     def classes(all_: Column) -> Column:
         return F.transform(
             F.array_sort(F.array_distinct(all_)),
-            lambda t: F.struct(t.alias("type"), F.size(F.filter(all_, lambda x: x == t)).cast("long").alias("n")),
+            lambda t: F.struct(
+                t.alias("type"), F.size(F.filter(all_, lambda x: x == t)).cast("long").alias("n"),
+                weight_of(t).alias("weight"), type_code(t).alias("code"),
+            ),
         )
 
     def paired(cs: Column) -> Column:

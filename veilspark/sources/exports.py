@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from veilspark import constants as K
 from veilspark.operators.compact import graph_compact
 from veilspark.operators.graph import graph_edges, graph_nodes, graph_totals
+from veilspark.sources.stage import drop_stage, stage_path, staged
 
 
 def write_report(report: DataFrame, path: str) -> None:
@@ -48,14 +49,16 @@ def export_metadata(graph: DataFrame, window: int = K.WINDOW) -> DataFrame:
 
 
 def export_cliques(compact: DataFrame) -> DataFrame:
-    """``{row, size, links}`` per row: its plain co-occurrences by pair of types."""
+    """``{row, size, links}`` per row: its plain co-occurrences by pair of types.
+
+    ``compact`` has the size of each row in place of its members."""
     links = F.transform(
         F.filter("links", lambda x: x["n_plain"] > 0),
         lambda x: F.struct(
             x["type1"].alias("type1"), x["type2"].alias("type2"), x["n_plain"].alias("count"), x["plain_weight"].alias("weight")
         ),
     )
-    return compact.select(F.col("row_id").alias("row"), F.size("members").alias("size"), links.alias("links"))
+    return compact.select(F.col("row_id").alias("row"), "size", links.alias("links"))
 
 
 def export_own_edges(compact: DataFrame) -> DataFrame:
@@ -75,13 +78,18 @@ def export_graph(graph: DataFrame, path: str, window: int = K.WINDOW, expanded:
     writes every edge into ``edges`` instead, and no ``cliques``; this list is quadratic in
     a row's nodes and repeats their ids, so it is written as gzipped JSON.
     """
+    stage = stage_path(graph.sparkSession, path)
     parts = {"nodes": export_nodes(graph), "metadata": export_metadata(graph, window)}
-    if expanded:
-        parts["edges"] = export_edges(graph, window)
-    else:
-        compact = graph_compact(graph, window)
-        parts["edges"] = export_own_edges(compact)
-        parts["cliques"] = export_cliques(compact)
-    for name, frame in parts.items():
-        packed = "gzip" if expanded and name == "edges" else "none"
-        frame.write.mode("overwrite").option("compression", packed).json(f"{path}/{name}")
+    try:
+        if expanded:
+            parts["edges"] = export_edges(graph, window)
+        else:
+            slim = graph_compact(graph, window).select("row_id", F.size("members").alias("size"), "own", "links")
+            compact = staged(slim, stage)  # both parts come from one pass
+            parts["edges"] = export_own_edges(compact)
+            parts["cliques"] = export_cliques(compact)
+        for name, frame in parts.items():
+            packed = "gzip" if expanded and name == "edges" else "none"
+            frame.write.mode("overwrite").option("compression", packed).json(f"{path}/{name}")
+    finally:  # it holds texts in clear
+        drop_stage(graph.sparkSession, stage)
