@@ -13,9 +13,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind ``value`` to a lambda variable so ``body`` can use it many times.
 
     Without this, every mention of an expression is another evaluation, and the
-    optimizer may also inline a column that was projected one step earlier.
+    optimizer may also inline a column that was projected one step earlier.  The value
+    is the start of a fold over nothing, and ``body`` its end: unlike ``transform``, a
+    fold does not copy what its functions return, which nested bindings would do anew
+    at every level.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.aggregate(F.array(), value, lambda bound, _: bound, body)
 
 
 def empty_array(element_ddl: str) -> Column:
@@ -25,7 +28,7 @@ def empty_array(element_ddl: str) -> Column:
 def chunked(items: Column, size: int = CHUNK) -> Column:
     """Split an array into consecutive slices of at most ``size`` elements."""
     count = F.ceil(F.size(items) / F.lit(size)).cast("int")
-    return F.when(F.size(items) == 0, F.array()).otherwise(
+    return F.when(F.size(items) == 0, F.array()).when(F.size(items) <= size, F.array(items)).otherwise(
         F.transform(
             F.sequence(F.lit(0), count - 1),
             lambda c: F.slice(items, c * size + 1, F.lit(size)),
@@ -60,9 +63,11 @@ def running_totals(items: Column, width: Callable[[Column], Column]) -> Column:
             ),
         )
 
-    widths = F.transform(items, width)
-    parts = let(widths, lambda w: F.transform(chunked(w), prefix))
-    return let(parts, shifted)
+    def totals(widths: Column) -> Column:
+        few = F.when(F.size(widths) <= CHUNK, prefix(widths)["sums"])
+        return few.otherwise(let(F.transform(chunked(widths), prefix), shifted))
+
+    return let(F.transform(items, width), totals)
 
 
 def first_of_runs(items: Column, same: Callable[[Column, Column], Column]) -> Column:

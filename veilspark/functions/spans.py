@@ -9,6 +9,16 @@ from veilspark.functions.arrays import empty_array, let, running_totals
 _HITS_DDL = "struct<tag:int,hits:array<string>,gaps:array<string>>"
 
 
+_CUT = "\x01"
+
+
+def _gaps(text: Column, regex: str) -> Column:
+    """``split(text, regex, -1)``, which would compile a pattern anew for every text; a single
+    character it takes as it is.  A text that holds this character is split by the pattern."""
+    marked = F.split(F.regexp_replace(text, regex, _CUT), _CUT, -1)
+    return F.when(F.contains(text, F.lit(_CUT)), F.split(text, regex, -1)).otherwise(marked)
+
+
 def pattern_hits(text: Column, regex: str, tag: int = 0) -> Column:
     """Matches of one pattern and the text pieces between them, not yet located.
 
@@ -20,7 +30,7 @@ def pattern_hits(text: Column, regex: str, tag: int = 0) -> Column:
         lambda h: F.struct(
             F.lit(tag).alias("tag"),
             h.alias("hits"),
-            F.when(F.size(h) > 0, F.split(text, regex, -1)).alias("gaps"),
+            F.when(F.size(h) > 0, _gaps(text, regex)).alias("gaps"),
         ),
     )
 
@@ -64,7 +74,7 @@ def find_spans(text: Column, regex: str) -> Column:
 
 def cut_after_last(text: Column, regex: str) -> Column:
     """``text`` up to the end of the last match of ``regex``; empty without a match."""
-    rest = F.element_at(F.split(text, regex, -1), -1)
+    rest = F.element_at(_gaps(text, regex), -1)
     return F.when(
         F.rlike(text, F.lit(regex)),
         F.substring(text, F.lit(1), F.length(text) - F.length(rest)),
@@ -80,7 +90,8 @@ def blocks(text: Column) -> Column:
     ``substring`` walks a string from its beginning; taking many pieces of a long
     text is only linear when each is taken from its own block.
     """
-    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    short = F.length(text).between(1, BLOCK)
+    return F.when(short, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
 
 
 def piece(parts: Column, start: Column, length: Column) -> Column:

@@ -117,25 +117,35 @@ def keyword_table() -> Column:
     )
 
 
-def indicators(context: Column) -> Column:
-    """``"category: keyword"`` of each keyword in the lower-cased context."""
-    return let(
-        F.lower(context),
-        lambda low: F.transform(
-            F.filter(keyword_table(), lambda k: F.contains(low, k["keyword"])),
-            lambda k: F.concat(k["category"], F.lit(": "), k["keyword"]),
-        ),
+def _keywords_in(text: Column, table: Column) -> Column:
+    """Those keywords of ``table`` that stand in the lower-cased text."""
+    return let(F.lower(text), lambda low: F.filter(table, lambda k: F.contains(low, k["keyword"])))
+
+
+def indicators(context: Column, table: Column | None = None) -> Column:
+    """``"category: keyword"`` of each keyword (of ``table``, if given) in the lower-cased context."""
+    return F.transform(
+        _keywords_in(context, keyword_table() if table is None else table),
+        lambda k: F.concat(k["category"], F.lit(": "), k["keyword"]),
     )
 
 
 def from_context(row_text: Column, entities: Column, window: int) -> Column:
-    """Entities that stand near at least one context keyword."""
-    seen = F.transform(
-        _windows(row_text, entities, window),
-        lambda x: F.struct(x["e"].alias("e"), indicators(x["context"]).alias("ind")),
-    )
+    """Entities that stand near at least one context keyword.
+
+    A context is a piece of the row's text, so only keywords of the row are looked for in it,
+    and none is cut out of a row without any.
+    """
+
+    def near(words: Column) -> Column:
+        seen = F.transform(
+            _windows(row_text, entities, window),
+            lambda x: F.struct(x["e"].alias("e"), indicators(x["context"], words).alias("ind")),
+        )
+        return F.when(F.size(words) > 0, F.filter(seen, lambda x: F.size(x["ind"]) > 0))
+
     return F.transform(
-        F.filter(seen, lambda x: F.size(x["ind"]) > 0),
+        F.coalesce(let(_keywords_in(row_text, keyword_table()), near), F.array()),
         lambda x: F.struct(
             x["e"]["text"].alias("text"),
             x["e"]["type"].alias("type"),
