@@ -34,28 +34,24 @@ def _merge_ids(raw: Column) -> Column:
     """
 
     def merged(items: Column) -> Column:
-        numbered = F.transform(items, lambda x, i: F.struct(i.alias("at"), x.alias("x")))
         last = F.size(items) - 1
+        places = F.when(last < 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), last))
 
         def differs(n: Column, at: Column) -> Column:
-            return F.get(items, at)["node_id"] != n["x"]["node_id"]
+            return F.get(items, at)["node_id"] != F.get(items, n)["node_id"]
 
-        firsts = F.filter(
-            numbered,
-            lambda n: (n["at"] == 0) | differs(n, F.greatest(n["at"] - 1, F.lit(0))),
-        )
-        lasts = F.filter(
-            numbered, lambda n: (n["at"] == last) | differs(n, F.least(n["at"] + 1, last))
-        )
+        firsts = F.filter(places, lambda n: (n == 0) | differs(n, F.greatest(n - 1, F.lit(0))))
+        lasts = F.filter(places, lambda n: (n == last) | differs(n, F.least(n + 1, last)))
         zipped = F.arrays_zip(firsts.alias("first"), lasts.alias("last"))
-        return F.transform(zipped, lambda z: node(items, z["first"], z["last"]))
+        return F.transform(
+            zipped, lambda z: let(F.get(items, z["last"]), lambda x: node(items, z["first"], z["last"], x))
+        )
 
-    def node(items: Column, first: Column, last: Column) -> Column:
-        loop = last["at"] > first["at"]
-        x = last["x"]
+    def node(items: Column, first: Column, last: Column, x: Column) -> Column:
+        loop = last > first
         return F.struct(
             x["kind"].alias("kind"),
-            first["x"]["ord"].alias("node_ord"),
+            F.get(items, first)["ord"].alias("node_ord"),
             x["node_id"].alias("node_id"),
             *[x[f].alias(f) for f in (
                 "column", "text", "type", "start", "end", "confidence", "method", "risk_level",
@@ -63,7 +59,7 @@ def _merge_ids(raw: Column) -> Column:
             loop.alias("self_loop"),
             weight_of(x["type"]).alias("weight"),
             type_code(x["type"]).alias("code"),
-            F.when(loop, F.get(items, F.greatest(last["at"] - 1, F.lit(0)))["type"])
+            F.when(loop, F.get(items, F.greatest(last - 1, F.lit(0)))["type"])
             .alias("other_type"),
         )
 
@@ -210,12 +206,12 @@ def graph_edges(
 
 def graph_totals(graph: DataFrame) -> DataFrame:
     """The sums all graph statistics are made of, in one global aggregation."""
-    nodes = F.col("nodes")
+    types, loops = F.col("nodes.type"), F.col("nodes.self_loop")  # of a staged graph only these are read
     k = F.col("k").cast("long")
     per_row = graph.select(
-        F.size(nodes).alias("k"),
-        F.size(F.filter(nodes, lambda n: n["self_loop"])).alias("loops"),
-        F.size(F.filter(nodes, lambda n: n["type"].isin(K.HIGH_VALUE_TYPES))).alias("valued"),
+        F.size(types).alias("k"),
+        F.size(F.filter(loops, lambda x: x)).alias("loops"),
+        F.size(F.filter(types, lambda t: t.isin(K.HIGH_VALUE_TYPES))).alias("valued"),
     )
     zero = F.lit(0).cast("long")
 
@@ -273,9 +269,7 @@ def reid_risk(graph: DataFrame) -> DataFrame:
     return graph_totals(graph).select(F.inline(F.array(reid_struct())))
 
 
-def _type_counts(nodes: Column) -> Column:
-    types = F.transform(nodes, lambda n: n["type"])
-
+def _type_counts(types: Column) -> Column:
     def counted(found: Column) -> Column:
         return let(
             F.array_sort(F.array_distinct(found)),
@@ -293,26 +287,26 @@ def components(graph: DataFrame) -> DataFrame:
 
     Unordered; ``ranked_components`` adds the place by risk.
     """
-    nodes = F.col("nodes")
-    weights = F.aggregate(nodes, F.lit(0.0), lambda acc, n: acc + n["weight"])
+    ids, types = F.col("nodes.node_id"), F.col("nodes.type")
+    weights = F.aggregate(F.col("nodes.weight"), F.lit(0.0), lambda acc, w: acc + w)
     return graph.select(
         F.col("row_id").alias("component_id"),
-        F.size(nodes).alias("size"),
-        _type_counts(nodes).alias("entity_types"),
-        (weights / F.size(nodes)).alias("risk_score"),
-        F.transform(nodes, lambda n: n["node_id"]).alias("nodes"),
+        F.size(ids).alias("size"),
+        _type_counts(types).alias("entity_types"),
+        (weights / F.size(ids)).alias("risk_score"),
+        ids.alias("nodes"),
     )
 
 
 def risk_clusters(graph: DataFrame) -> DataFrame:
     """Maximal cliques of two nodes or more, with their cluster risk."""
-    nodes = F.col("nodes")
-    types = F.array_sort(F.array_distinct(F.transform(nodes, lambda n: n["type"])))
-    valued = F.exists(nodes, lambda n: n["type"].isin(K.HIGH_VALUE_TYPES))
-    return graph.filter(F.size(nodes) >= 2).select(
+    ids = F.col("nodes.node_id")
+    types = F.array_sort(F.array_distinct(F.col("nodes.type")))
+    valued = F.exists(types, lambda t: t.isin(K.HIGH_VALUE_TYPES))
+    return graph.filter(F.size(ids) >= 2).select(
         "row_id",
-        F.transform(nodes, lambda n: n["node_id"]).alias("nodes"),
-        F.size(nodes).alias("size"),
+        ids.alias("nodes"),
+        F.size(ids).alias("size"),
         types.alias("entity_types"),
         (F.size(types) * 0.2 + F.when(valued, 0.5).otherwise(0.0)).alias("risk_score"),
         F.lit("clique").alias("cluster_type"),
@@ -344,13 +338,19 @@ def _ranked(graph: DataFrame, measure: str, limit: int) -> DataFrame:
     """
     if measure not in MEASURES:
         raise ValueError(f"measure is one of {MEASURES}")
-    nodes = F.col("nodes")
+
+    def read(first: int | None) -> Column:
+        """What a rank is made of; of a staged graph no more is read."""
+        fields = ((f, F.col(f"nodes.{f}")) for f in ("node_id", "kind", "node_ord", "self_loop"))
+        return F.arrays_zip(*[(c if first is None else F.slice(c, 1, first)).alias(f) for f, c in fields])
+
+    nodes = read(None if measure == "degree" else limit)
     if measure == "degree":  # a row's nodes differ by their loops only
         nodes = F.concat(
             F.filter(nodes, lambda n: n["self_loop"]), F.filter(nodes, lambda n: ~n["self_loop"])
         )
     found = graph.select(
-        "row_id", F.size("nodes").alias("k"), F.inline(F.slice(nodes, 1, limit))
+        "row_id", F.size("nodes.node_id").alias("k"), F.inline(F.slice(nodes, 1, limit))
     )
     loop = F.when(F.col("self_loop"), 2).otherwise(0)
     raw = {
@@ -367,7 +367,7 @@ def _ranked(graph: DataFrame, measure: str, limit: int) -> DataFrame:
 
 def top_central(graph: DataFrame, measure: str = "degree", limit: int = K.TOP_CENTRAL) -> DataFrame:
     """The ``limit`` most central nodes: a bounded top-k and one node total."""
-    total = graph.agg(F.sum(F.size("nodes").cast("long")).alias("n")).scalar()
+    total = graph.agg(F.sum(F.size("nodes.kind").cast("long")).alias("n")).scalar()
     alone = F.lit(1.0 if measure == "degree" else 0.0)
     return _ranked(graph, measure, limit).select(
         "node_id", "row_id",

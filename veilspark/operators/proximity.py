@@ -58,7 +58,8 @@ def tiled_pairs(items: Column, window: int, pair: Callable[[Column, Column], Col
 
     The items are cut into tiles; a tile is only compared with the tiles that begin up
     to its last place plus the window, so the work grows with the number of pairs and
-    not with the square of the items.
+    not with the square of the items.  Tiles give places only, as what a nested function
+    returns is copied once a level; the pairs are made of them at the end.
     """
 
     def tile_pairs(items: Column, starts: Column, begin: Column) -> Column:
@@ -67,15 +68,16 @@ def tiled_pairs(items: Column, window: int, pair: Callable[[Column, Column], Col
             reach = F.size(F.filter(starts, lambda s: s <= limit)) * TILE
             near = F.slice(items, begin + 1, reach - begin)
             return let(
-                near,
+                F.transform(near, lambda b: b["at"]),
                 lambda cand: F.flatten(
                     F.transform(
                         head,
                         lambda a, i: F.transform(
                             F.filter(
-                                cand, lambda b, j: (j > i) & (b["at"] - a["at"] <= window)
+                                F.sequence(i + 1, F.greatest(F.size(cand) - 1, i + 1)),
+                                lambda j: F.get(cand, j) - a["at"] <= window,
                             ),
-                            lambda b: pair(a, b),
+                            lambda j: F.struct((begin + i).alias("a"), (begin + j).alias("b")),
                         ),
                     )
                 ),
@@ -86,19 +88,25 @@ def tiled_pairs(items: Column, window: int, pair: Callable[[Column, Column], Col
     def all_tiles(items: Column) -> Column:
         begins = F.sequence(F.lit(0), F.size(items) - 1, F.lit(TILE))
         starts = F.transform(begins, lambda b: F.get(items, b)["at"])
-        return let(
+        places = let(
             starts,
             lambda s: F.flatten(F.transform(begins, lambda b: tile_pairs(items, s, b))),
         )
+        return F.transform(
+            places, lambda p: let(F.get(items, p["a"]), lambda a: let(F.get(items, p["b"]), lambda b: pair(a, b)))
+        )
 
     return let(items, all_tiles)
 
 
-def window_pairs(entities: Column, window: int, row_text: Column | None = None) -> Column:
+def window_pairs(
+    entities: Column, window: int, row_text: Column | None = None, with_entities: bool = True
+) -> Column:
     """All pairs with ``|start1 - start2| <= window`` of one row, as an array.
 
     With ``row_text`` each pair also gets the text between its two entities, cut
-    from a snippet of at most ``window`` characters kept per entity.
+    from a snippet of at most ``window`` characters kept per entity.  Without its
+    entities a pair names them by their places; ``spelled_out`` puts them in.
     """
     with_text = row_text is not None
 
@@ -106,7 +114,7 @@ def window_pairs(entities: Column, window: int, row_text: Column | None = None)
         parts = [
             (e["start"] + e["base"]).alias("at"),
             ord_.alias("ord"),
-            _rebased(e).alias("e"),
+            (_rebased(e) if with_entities else F.struct((e["end"] + e["base"]).alias("end"))).alias("e"),
             type_code(e["type"]).alias("code"),
         ]
         if with_text:
@@ -119,8 +127,7 @@ def window_pairs(entities: Column, window: int, row_text: Column | None = None)
         parts = [
             F.least(a["ord"], b["ord"]).alias("ord1"),
             F.greatest(a["ord"], b["ord"]).alias("ord2"),
-            lo.alias("e1"),
-            hi.alias("e2"),
+            *([lo.alias("e1"), hi.alias("e2")] if with_entities else []),
             (b["at"] - a["at"]).alias("distance"),
             codes_in(a["code"], b["code"], K.HIGH_RISK_PAIRS).alias("hot"),
         ]
@@ -149,6 +156,16 @@ def relations(rows: DataFrame, window: int = K.WINDOW) -> DataFrame:
     return rows.select("row_id", F.inline(pairs)).drop("hot")
 
 
+def spelled_out(rows: DataFrame) -> DataFrame:
+    """``relations`` of rows whose ``pairs`` were made without their entities."""
+    found = rows.select("row_id", "entities", F.inline("pairs"))
+    return found.select(
+        "row_id", "ord1", "ord2",
+        *[_rebased(F.get("entities", F.col(f"ord{i}"))).alias(f"e{i}") for i in (1, 2)],
+        "distance", "text_between",
+    )
+
+
 def band_pairs(detections: DataFrame, window: int = K.WINDOW) -> DataFrame:
     """The same pairs from a plain detection table, by a bucketed self join.
 
@@ -183,7 +200,7 @@ def band_pairs(detections: DataFrame, window: int = K.WINDOW) -> DataFrame:
 
 
 def assess(pairs: DataFrame, window: int = K.WINDOW) -> DataFrame:
-    """Risk level and reason of each pair; accepts ``relations`` or ``band_pairs``."""
+    """Risk level and reason of each pair; accepts ``relations``, ``spelled_out`` or ``band_pairs``."""
     if "e1" in pairs.columns:
         pairs = pairs.select(
             "row_id", "ord1", "ord2",
@@ -195,5 +212,5 @@ def assess(pairs: DataFrame, window: int = K.WINDOW) -> DataFrame:
         pair_risk(
             pair_in(F.col("type1"), F.col("type2"), K.HIGH_RISK_PAIRS), F.col("distance"), window
         ).alias("risk_level"),
-        F.format_string("Proximity of %s and %s", "type1", "type2").alias("reason"),
+        F.concat(F.lit("Proximity of "), "type1", F.lit(" and "), "type2").alias("reason"),
     )
