@@ -159,3 +159,53 @@ def test_sketches_spare_hopeless_pairs_and_lose_none(spark):
         assert alike <= left and len(left) < 0.02 * len(every)
     pairs = spark.createDataFrame(sorted(every), "a long, b long")
     assert {tuple(r) for r in L.reachable(pairs, sketch, 0.8).collect()} == left
+
+
+def test_signatures_without_patterns(spark):
+    """Shingles of signatures are cut by place: no pattern and no lambda in the plan, the same shingles as by
+    patterns, in lines of any script and length."""
+    rnd = random.Random(23)
+    word = lambda: "".join(rnd.choice("abcdeéß北😀") for _ in range(rnd.randrange(1, 9)))
+    lines = ["a", "é", "北京", "ab  c", "😀😀😀😀", "😀😀😀😀😀", "abcde", "abcdé", "x\ty", "北" * 400, "a" * 200, "* " * 70 + "*", "a " * 90 + "b"]
+    lines += [" ".join(word() for _ in range(n)) for n in (1, 2, 5, 20, 30, 33, 40, 80, 300)]
+    lines += [" ".join("abcdefgh"[: rnd.randrange(1, 9)] for _ in range(n)) + "  end" for n in (3, 25, 28, 35, 90)]
+    texts = spark.createDataFrame([("\n".join(lines),), (None,), ("",), ("\n a \n",)], "text string")
+    want = set()
+    for x in lines:
+        words = x.count(" ") + 1
+        if len(x) <= L.SHORT or len(x) > 12 * words:
+            want |= {(x, 0, s) for s in shingles(x)}
+        if 0.8 * L.SHORT <= len(x) < 18 * words:
+            w = x.split(" ")
+            want |= {(x, 1, " ".join(w[i : i + 2])[:8]) for i in range(len(w))}
+    text_of = {r.id: r.line for r in L._lines(texts).collect()}
+    rows = L._shingle_rows(texts)
+    assert {(text_of[r.id], r.kind, r.s) for r in rows.collect()} == want
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan and "lambda" not in plan
+
+
+def test_only_open_buckets_are_sketched(spark, monkeypatch):
+    """Buckets that the hubs join need no bitmaps, and links found later move roots, not all their lines."""
+    rnd = random.Random(29)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
+    base = [word() for _ in range(40)]
+    joined = [" ".join([*base[:-1], word()]) for _ in range(60)]  # alike to each other
+    others = [[word() for _ in range(20)] for _ in range(30)]
+    apart = [" ".join(w) for w in others] + [" ".join([*w[:-1], word()]) for w in others]
+    texts = spark.createDataFrame([(x,) for x in joined + apart], "text string")
+    id_of = {r.line: r.id for r in L._lines(texts).collect()}
+    signed = spark.createDataFrame([(id_of[x], [1]) for x in joined] + [(id_of[x], [2]) for x in apart], "id long, bands array<long>")
+    sketched, closed, sketches, connected = [], [], L.sketches, L.connected
+    monkeypatch.setattr(L, "sketches", lambda lines: (sketched.append({r.id for r in lines.collect()}), sketches(lines))[1])
+    monkeypatch.setattr(L, "connected", lambda edges: (closed.append(edges.count()), connected(edges))[1])
+    of = {r.node: r.root for r in L.groups(texts, signed, 0.8).collect()}
+    assert len(sketched) == 1 and sketched[0] <= {id_of[x] for x in apart}
+    assert len(closed) == 2 and closed[1] <= 30
+    assert {of[id_of[x]] for x in joined} == {min(id_of[x] for x in joined)}
+    assert all(of[id_of[apart[k]]] == of[id_of[apart[k + 30]]] == min(id_of[apart[k]], id_of[apart[k + 30]]) for k in range(30))
+    assert len(of) == 120
+    roots = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "node long, root long")
+    more = spark.createDataFrame([(2, 6), (3, 4), (0, 9)], "a long, b long")
+    monkeypatch.undo()
+    assert {tuple(r) for r in L._joined(roots, more).collect()} == {(1, 1), (2, 1), (5, 1), (6, 1), (3, 3), (4, 3), (0, 0), (8, 0), (9, 0)}

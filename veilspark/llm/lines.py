@@ -8,8 +8,8 @@ ranges overlap, so lines alike enough to link share a kind.  Bands of equal
 minima give candidates, each is compared with the hubs of its bucket on the exact
 Jaccard similarity of all 5-character shingles, and links are closed by a
 distributed union-find.  Pairs of a bucket that this leaves apart are compared too.
-A bitmap of each line's shingles bounds the similarity from above, so the texts of a
-pair meet only where the bound allows a link.
+There a bitmap of each line's shingles bounds the similarity from above, so the texts of
+such a pair meet only where the bound allows a link.
 """
 
 from __future__ import annotations
@@ -33,8 +33,6 @@ BROADCAST_ROWS = 1_000_000
 TILE = 500
 _rnd = random.Random(20240607)
 _MASKS = [_rnd.getrandbits(31) for _ in range(MINIMA)]
-# a word, the space behind it and the next word, from every start of a word
-_STARTS = r"(?!\z)(?=([^ ]*(?: [^ ]*)?))[^ ]* ?"
 _EVERY = rf"(?s)(?=(.{{{SHINGLE}}}))"
 _HUBS = [0, -1, _rnd.getrandbits(62), _rnd.getrandbits(62)]
 WORDS = 32  # of 64 bits, in a line's bitmap
@@ -52,20 +50,45 @@ def _lines(texts: DataFrame) -> DataFrame:
     return rows.filter("line != ''").select(F.xxhash64("line").alias("id"), "line")
 
 
-def signatures(texts: DataFrame) -> DataFrame:
-    """``id, bands`` of every distinct line, by kind of shingle.  Minima are taken before the shuffle,
-    so texts do not move and a line's copies meet as one row a task."""
-    size = F.length("line")
-    every = F.when(size < SHINGLE, F.array("line")).otherwise(F.regexp_extract_all("line", F.lit(_EVERY), F.lit(1)))
+def _shingle_rows(texts: DataFrame) -> DataFrame:
+    """``id, kind, s`` of every shingle that signatures are made of.
+
+    Kind 0 cuts at every byte that begins a character (five take at most 20 bytes), kind 1 takes each
+    word with the next one.  Rows of places are cut by compiled code; a pattern or a lambda would cost
+    several times as much.  What a row needs is put into ``k``, or it would be made anew at every place.
+    """
+    size, octets = F.length("line"), F.octet_length("line")
     words = size - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    # a word and the next one; the shingle is cut from their start below
-    starts = F.regexp_extract_all("line", F.lit(_STARTS), F.lit(1))
+    sized = _lines(texts).select("id", "line", size.alias("size"), words.alias("words"))
+    size, words = F.col("size"), F.col("words")
+
+    def of_kind(kind: int, raw: Column, split: Column, last: Column) -> Column:
+        fields = {"kind": F.lit(kind), "raw": raw.cast("binary"), "words": split.cast("array<string>"), "ascii": size == octets, "last": last}
+        return F.struct(*[c.alias(n) for n, c in fields.items()])
+
+    none = F.lit(None)
     kinds = F.array(
-        F.struct(F.lit(0).alias("kind"), F.when((size <= SHORT) | (size > 12 * words), every).alias("of")),
-        F.struct(F.lit(1).alias("kind"), F.when((size >= 0.8 * SHORT) & (size < 18 * words), starts).alias("of")),
+        F.when((size <= SHORT) | (size > 12 * words), of_kind(0, F.col("line"), none, F.greatest(octets - SHINGLE, F.lit(0)))),
+        F.when((size >= 0.8 * SHORT) & (size < 18 * words), of_kind(1, none, F.split("line", " "), words - 1)),
     )
-    both = _lines(texts).select("id", F.explode(kinds).alias("k")).select("id", "k.kind", F.explode("k.of").alias("s"))
-    hashed = both.select("id", "kind", F.shiftrightunsigned(F.xxhash64(F.substring("s", 1, 8)), 33).cast("int").alias("v"))
+    known = sized.select("id", F.explode(kinds).alias("k")).filter("k is not null").select("id", "k.*")
+    at = known.select("id", "kind", "raw", "words", "ascii", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("at"))
+    place = F.col("at")
+    inside = F.substring("raw", place + 1, F.lit(1)).between(F.lit(b"\x80"), F.lit(b"\xbf"))
+    begins = at.filter((place == 0) | (F.col("kind") == 1) | F.col("ascii") | ~inside)
+    word = F.get("words", place)
+    two = F.coalesce(F.concat(word, F.lit(" "), F.get("words", place + 1)), word)
+    flat = F.substring("raw", place + 1, F.lit(SHINGLE)).cast("string")
+    wide = F.substring(F.substring("raw", place + 1, F.lit(4 * SHINGLE)).cast("string"), 1, SHINGLE)
+    s = F.when(F.col("kind") == 1, F.substring(two, 1, 8)).when(F.col("ascii"), flat).otherwise(wide)
+    cut = begins.select("id", "kind", "ascii", "at", s.alias("s"))
+    return cut.filter((F.col("kind") == 1) | F.col("ascii") | (F.col("at") == 0) | (F.length("s") == SHINGLE)).select("id", "kind", "s")
+
+
+def signatures(texts: DataFrame) -> DataFrame:
+    """``id, bands`` of every distinct line, by kind of shingle.  Minima are taken before the shuffle,
+    so texts do not move and a line's copies meet as one row a task."""
+    hashed = _shingle_rows(texts).select("id", "kind", F.shiftrightunsigned(F.xxhash64("s"), 33).cast("int").alias("v"))
     minima = hashed.groupBy("id", "kind").agg(*[F.min(F.col("v").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(_MASKS)])
     bands = [F.xxhash64("kind", F.lit(b), *[f"m{k}" for k in line]) for b, line in enumerate(BANDS)]
     return minima.select("id", F.array(*bands).alias("bands"))
@@ -137,11 +160,19 @@ def open_pairs(met: DataFrame, roots: DataFrame, tile: int = TILE, sketch: DataF
     out; pairs within one component change nothing.  A large bucket is cut into tiles
     and compared tile by tile, so no task holds it whole.
     """
+    return _tile_pairs(_apart(met, roots, tile), sketch, least)
+
+
+def _apart(met: DataFrame, roots: DataFrame, tile: int = TILE) -> DataFrame:
+    """``band, id, root, tiles, t``: the lines, but for the hubs, of buckets that ``roots`` does not join, in tiles."""
     rest = _with_hubs(met).filter(~F.array_contains("hubs", F.col("id"))).select("band", "id")
     named = staged(rest.join(roots, rest["id"] == roots["node"], "left").select("band", "id", F.coalesce("root", "id").alias("root")))
     sizes = named.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     mixed = sizes.filter("lo != hi").select("band", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    cut = named.join(mixed, "band").withColumn("t", F.pmod(F.xxhash64("id"), "tiles").cast("int"))
+    return staged(named.join(mixed, "band").withColumn("t", F.pmod(F.xxhash64("id"), "tiles").cast("int")))
+
+
+def _tile_pairs(cut: DataFrame, sketch: DataFrame | None, least: float) -> DataFrame:
     test = F.expr("ra != rb and (i != j or a < b)")
     left = cut.select("band", F.col("t").alias("i"), F.explode(F.sequence("t", F.col("tiles") - 1)).alias("j"), F.col("id").alias("a"), F.col("root").alias("ra"))
     right = cut.select("band", F.explode(F.sequence(F.lit(0), "t")).alias("i"), F.col("t").alias("j"), F.col("id").alias("b"), F.col("root").alias("rb"))
@@ -176,9 +207,9 @@ def verified(texts: DataFrame, pairs: DataFrame, least: float, lines: DataFrame
     """The pairs whose lines have a Jaccard similarity of at least ``least`` over
     all their character shingles (a shorter line is one shingle).  ``lines`` may
     hold the lines of all pairs (``id, line``)."""
-    pairs = staged(pairs)
-    lines = _wanted_lines(texts, pairs) if lines is None else lines
-
+    if lines is None:
+        pairs = staged(pairs)
+        lines = _wanted_lines(texts, pairs)
     joined = pairs.join(lines.select(F.col("id").alias("a"), F.col("line").alias("la")), "a").join(
         lines.select(F.col("id").alias("b"), F.col("line").alias("lb")), "b"
     )
@@ -200,12 +231,27 @@ def groups(texts: DataFrame, signed: DataFrame, least: float) -> DataFrame:
     met = buckets(signed)
     pairs = staged(hub_pairs(met))
     lines = _wanted_lines(texts, pairs)  # each line of a bucket is in a pair with a hub
-    sketch = sketches(lines)
-    roots = staged(connected(verified(texts, reachable(pairs, sketch, least), least, lines)))
-    more = staged(verified(texts, open_pairs(met, roots, sketch=sketch, least=least), least, lines))
-    if more.isEmpty():
+    roots = staged(connected(verified(texts, pairs, least, lines)))
+    cut = _apart(met, roots)
+    if cut.isEmpty():
         return roots
-    return connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+    # most buckets are joined by now, so few lines need a bitmap
+    sketch = sketches(lines.join(cut.select("id").distinct(), "id", "left_semi"))
+    more = staged(verified(texts, _tile_pairs(cut, sketch, least), least, lines))
+    return roots if more.isEmpty() else _joined(roots, more)
+
+
+def _joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """``node, root`` after further links ``a, b``; only the roots they touch are closed again."""
+
+    def named(links: DataFrame, side: str) -> DataFrame:
+        of = roots.select(F.col("node").alias(side), F.col("root").alias("r"))
+        return links.join(of, side, "left").withColumn(side, F.coalesce("r", side)).drop("r")
+
+    moved = staged(connected(named(named(more, "a"), "b")))
+    to = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    lone = moved.join(roots.select("node"), "node", "left_anti")
+    return roots.join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root")).unionByName(lone)
 
 
 def _removed(docs: DataFrame, doc_id: str, text: str, keep: list[str], names: list[str], least: float) -> DataFrame:
